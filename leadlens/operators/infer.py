@@ -149,7 +149,7 @@ def parse_date_cell(x: Column) -> Column:
     """First blank-separated token as M/d/yyyy; '' gives 1900-01-01; else NULL."""
     tok = F.split_part(x, F.lit(" "), F.lit(1))
     return F.when(x == F.lit(""), F.lit(DATE_DEFAULT).cast("date")) \
-            .otherwise(F.try_to_date(tok, F.lit(DATE_FORMAT)))
+            .otherwise(F.try_to_date(tok, DATE_FORMAT))
 
 
 def infer_dates(df: DataFrame, stats: dict[str, ColumnStats] | None = None,
