@@ -100,8 +100,17 @@ class _Sides:
         return [self.r(b) for _, b in self.on]
 
 
+def row_key(cols: Sequence[str]) -> Column:
+    """A content key for rows without an id (SHA-256 of the JSON of the values).
+
+    256 bits make accidental collisions negligible even over 10^12 rows,
+    which a 64-bit hash would not.
+    """
+    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
+
+
 def containment_join(left: DataFrame, right: DataFrame, *, on: Sequence,
-                     left_id: str, right_id: str,
+                     left_id: str | None, right_id: str | None,
                      left_phones: Sequence[str], right_phones: Sequence[str],
                      left_combined: str, right_combined: str,
                      how: str = "left", direction: str = "longer",
@@ -121,11 +130,37 @@ def containment_join(left: DataFrame, right: DataFrame, *, on: Sequence,
                   e.g. ``to_date('r_createdtime') >= to_date('created')``;
                   the columns it reads are listed in ``pair_columns``.
     ``left_id`` and ``right_id`` must identify rows uniquely on each side.
+    Pass ``None`` for a side without such an id: the match then runs on the
+    distinct identities of that side (content key, see ``row_key``) and is
+    joined back, so repeated rows keep their multiplicity (bag semantics)
+    without repeating the match work.
     """
     if how not in ("left", "inner", "left_anti", "left_semi"):
         raise ValueError(f"unsupported how={how!r}")
     if right_filter is not None:
         right = right.filter(right_filter)
+    kw = dict(on=on, left_phones=left_phones, right_phones=right_phones,
+              left_combined=left_combined, right_combined=right_combined,
+              direction=direction, exclude_self=exclude_self, pair_filter=pair_filter,
+              pair_columns=pair_columns, blocked=blocked, right_prefix=right_prefix)
+    if left_id is None:
+        if exclude_self:
+            raise ValueError("exclude_self needs a left_id")
+        names = [o if isinstance(o, str) else o[0] for o in on]
+        kcols = list(dict.fromkeys([*names, *left_phones, left_combined, *pair_columns[0]]))
+        keyed = left.withColumn("_lk", row_key(kcols))
+        ident = keyed.select("_lk", *kcols).dropDuplicates(["_lk"])
+        sub = containment_join(ident, right, left_id="_lk", right_id=right_id, how=how, **kw)
+        if how in ("left_anti", "left_semi"):
+            return keyed.join(sub.select("_lk"), "_lk", "left_semi").drop("_lk")
+        rcols = [c for c in sub.columns if c.startswith(right_prefix)]
+        return keyed.join(sub.select("_lk", *rcols), "_lk", how).drop("_lk")
+    dedup_right = False
+    if right_id is None:
+        if exclude_self:
+            raise ValueError("exclude_self needs a right_id")
+        right = right.withColumn("_rk", row_key(right.columns))
+        right_id, dedup_right = "_rk", True
     s = _Sides(left, right, on, left_id, right_id, left_phones, right_phones,
                left_combined, right_combined, right_prefix)
     if not blocked:
@@ -133,12 +168,14 @@ def containment_join(left: DataFrame, right: DataFrame, *, on: Sequence,
     if how in ("left_anti", "left_semi") and pair_filter is None:
         matched = _matched_left_ids(s, direction, exclude_self)
         return left.join(matched, on=left_id, how=how)
-    pairs = _pairs(s, direction, exclude_self, pair_filter, pair_columns)
+    pairs = _pairs(s, direction, exclude_self, pair_filter, pair_columns, dedup_right)
     if how in ("left_anti", "left_semi"):
         matched = pairs.select(F.col(left_id)).distinct()
         return left.join(matched, on=left_id, how=how)
     rp = s.right_prefixed()
     joined = pairs.select(left_id, s.r(right_id)).join(rp, on=s.r(right_id), how="inner")
+    if dedup_right:
+        joined = joined.drop(s.r(right_id))
     return left.join(joined, on=left_id, how=how)
 
 
@@ -190,11 +227,14 @@ def _first_hit(phones: Sequence[str], pos_col: str, hay: Column) -> Column:
     return cond
 
 
-def _pairs(s: _Sides, direction, exclude_self, pair_filter, pair_columns) -> DataFrame:
+def _pairs(s: _Sides, direction, exclude_self, pair_filter, pair_columns,
+           dedup_right: bool = False) -> DataFrame:
     """(left_id, r_right_id) for every matching pair, each exactly once."""
     lx, rx = pair_columns
     L = _narrow_left(s, lx)
     R = _narrow_right(s, rx)
+    if dedup_right:  # content-keyed right side: match each distinct row once
+        R = R.dropDuplicates([s.r(s.rid)])
     keys = [*s.l_names, "_k"]
     lc, rc = F.col(s.lc), F.col(s.r(s.rc))
     rkeys = {rn: ln for ln, rn in zip(s.l_names, s.r_names)}
