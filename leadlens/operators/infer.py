@@ -165,14 +165,14 @@ def infer_dates(df: DataFrame, stats: dict[str, ColumnStats] | None = None,
     if not cols:
         return df, None
     conv = {c: parse_date_cell(F.col(c)) for c in cols}
-    rejects = None
-    if key:
-        parts = [df.filter(F.col(c).isNotNull() & conv[c].isNull())
-                   .select(*key, F.lit(c).alias("column_name"), F.col(c).alias("value"))
-                 for c in cols]
-        rejects = parts[0]
-        for p in parts[1:]:
-            rejects = rejects.unionByName(p)
+    # Without a key, a reject row carries the row's other columns.
+    key = key or [c for c in df.columns if c not in cols]
+    parts = [df.filter(F.col(c).isNotNull() & conv[c].isNull())
+               .select(*key, F.lit(c).alias("column_name"), F.col(c).alias("value"))
+             for c in cols]
+    rejects = parts[0]
+    for p in parts[1:]:
+        rejects = rejects.unionByName(p)
     return df.withColumns(conv), rejects
 
 
