@@ -93,13 +93,28 @@ def char_after(x: ColumnOrName, key: str, strict: bool = False) -> Column:
 
 
 def strip_control(x: ColumnOrName) -> Column:
-    """SC22: drop newline, carriage return, ';' and backslash characters."""
-    return F.translate(_c(x), CONTROL_DROP, "")
+    """SC22: drop newline, carriage return, ';' and backslash characters.
+
+    Cells are first tested with cheap byte searches; only cells holding one
+    of the characters pay for the replacement.
+    """
+    c = _c(x)
+    hit = None
+    for ch in CONTROL_DROP:
+        t = c.contains(ch)
+        hit = t if hit is None else (hit | t)
+    return F.when(hit, F.regexp_replace(c, r"[\n\r;\\]", "")).otherwise(c)
 
 
 def strip_non_ascii(x: ColumnOrName) -> Column:
-    """SC23: drop every character outside 0x00-0x7F."""
-    return F.regexp_replace(_c(x), r"[^\x00-\x7F]", "")
+    """SC23: drop every character outside 0x00-0x7F.
+
+    A cell whose UTF-8 byte length equals its character length is pure ASCII
+    and is passed through without running the regular expression.
+    """
+    c = _c(x)
+    return F.when(F.octet_length(c) == F.length(c), c) \
+            .otherwise(F.regexp_replace(c, r"[^\x00-\x7F]", ""))
 
 
 def anchor_name(x: ColumnOrName, exact: bool = False) -> Column:

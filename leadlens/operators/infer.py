@@ -42,10 +42,7 @@ def top_values(df: DataFrame, k: int = 2, columns: list[str] | None = None) -> D
     the reference leaves to hash order. One shuffle for the whole frame.
     """
     cols = columns or df.columns
-    long = df.select([F.col(c).cast("string").alias(c) for c in cols]).unpivot(
-        ids=[], values=cols, variableColumnName="column_name", valueColumnName="value")
-    counts = long.filter(F.col("value").isNotNull()) \
-                 .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = value_counts(df, cols)
     w = Window.partitionBy("column_name").orderBy(F.col("cnt").desc(), F.col("value").asc())
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
@@ -62,24 +59,47 @@ def _is_number(c: Column) -> Column:
     return c.rlike(NUMBER_RE)
 
 
+def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, value, cnt) over all columns: one shuffle, map-side combined."""
+    long = df.select([F.col(c).cast("string").alias(c) for c in cols]).unpivot(
+        ids=[], values=cols, variableColumnName="column_name", valueColumnName="value")
+    return long.filter(F.col("value").isNotNull()) \
+               .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def column_stats(df: DataFrame, columns: list[str] | None = None) -> dict[str, ColumnStats]:
-    """One aggregate pass plus one top-2 shuffle; returns per-column statistics."""
+    """Per-column statistics from a single pass over the data.
+
+    The data is reduced once to distinct (column, value) counts; cell
+    totals, parse counts (the number pattern is tested once per distinct
+    value, not per cell) and the two most frequent values all come from
+    that reduced table, which is kept for the two small follow-up jobs.
+    """
     cols = [c for c in (columns or df.columns)
             if isinstance(df.schema[c].dataType, Ty.StringType)]
     if not cols:
         return {}
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c)
-        aggs += [F.count(x).alias(f"n{i}"),
-                 F.count_if(_is_number(x)).alias(f"num{i}"),
-                 F.count_if(_is_number(F.translate(x, MONEY_DROP, ""))).alias(f"mon{i}")]
-    row = df.agg(*aggs).first()
-    tops: dict[str, list] = {c: [] for c in cols}
-    for r in top_values(df, 2, cols).orderBy("column_name", "rank").collect():
-        tops[r["column_name"]].append(r["value"])
-    return {c: ColumnStats(row[f"n{i}"], row[f"num{i}"], row[f"mon{i}"], tops[c])
-            for i, c in enumerate(cols)}
+    counts = value_counts(df, cols).persist()
+    try:
+        v, n = F.col("value"), F.col("cnt")
+        agg = counts.groupBy("column_name").agg(
+            F.sum(n).alias("n"),
+            F.sum(F.when(_is_number(v), n).otherwise(0)).alias("num"),
+            F.sum(F.when(_is_number(F.translate(v, MONEY_DROP, "")), n).otherwise(0)).alias("mon"))
+        stats = {r["column_name"]: r for r in agg.collect()}
+        w = Window.partitionBy("column_name").orderBy(n.desc(), v.asc())
+        tops: dict[str, list] = {c: [] for c in cols}
+        for r in (counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 2)
+                        .orderBy("column_name", "rank").collect()):
+            tops[r["column_name"]].append(r["value"])
+    finally:
+        counts.unpersist()
+    out = {}
+    for c in cols:
+        r = stats.get(c)
+        out[c] = ColumnStats(r["n"] if r else 0, r["num"] if r else 0,
+                             r["mon"] if r else 0, tops[c])
+    return out
 
 
 def strip_cells(df: DataFrame) -> DataFrame:

@@ -86,3 +86,47 @@ def state_counts(col: Column | str, states: Mapping[str, str]) -> list[Column]:
     """AG3 shorthand: one ``count_if(col = state)`` per (alias -> state)."""
     c = F.col(col) if isinstance(col, str) else col
     return [count_when(c == F.lit(v)).alias(k) for k, v in states.items()]
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                   how: str = "left") -> DataFrame:
+    """Join on ``keys`` where NULL keys match each other (grouping semantics)."""
+    r = right.select([F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        t = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = t if cond is None else (cond & t)
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def distinct_profile(df: DataFrame, keys: Sequence[str], value: Column | str, *,
+                     count_as: str | None = None, list_as: str | None = None,
+                     sep: str = ",") -> DataFrame:
+    """AG6/AG7 from distinct (key, value) pairs.
+
+    ``count(distinct v)`` and ``string_agg(distinct v)`` are computed from a
+    map-side-combined distinct of (keys, v) instead of Catalyst's Expand of
+    every row per distinct aggregate; join the result back with
+    ``join_null_safe`` and read a missing count as 0.
+    """
+    v = F.col(value) if isinstance(value, str) else value
+    pairs = df.select(*keys, v.cast("string").alias("_v")).filter(F.col("_v").isNotNull()) \
+              .distinct()
+    aggs = []
+    if count_as:
+        aggs.append(F.count(F.lit(1)).alias(count_as))
+    if list_as:
+        aggs.append(F.array_join(F.array_sort(F.collect_list("_v")), sep).alias(list_as))
+    return pairs.groupBy(*keys).agg(*aggs)
+
+
+def with_distinct(main: DataFrame, df: DataFrame, keys: Sequence[str],
+                  specs: Sequence[dict]) -> DataFrame:
+    """Attach several ``distinct_profile`` results to a per-key aggregate."""
+    out = main
+    for spec in specs:
+        prof = distinct_profile(df, keys, **spec)
+        out = join_null_safe(out, prof, keys)
+        if spec.get("count_as"):
+            out = out.withColumn(spec["count_as"], F.coalesce(F.col(spec["count_as"]), F.lit(0)))
+    return out

@@ -135,7 +135,8 @@ def showing_profile(t: Tables, cc: DataFrame, as_of: str | None = None,
            .join(app, "prospect_id", "left").join(units, "unit_id", "left")
            .join(act, "showing_id", "left"))
     st, start, created = F.col("showable_state"), F.col("start_time"), F.col("created_at")
-    return j.groupBy(*NAMES, *phones, "combined").agg(
+    keys = [*NAMES, *phones, "combined"]
+    main = j.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_showing"),
         P.count_when((st == "showing_set") & (start < today)).alias("showing_shown"),
         *P.state_counts(st, {"showing_cancelled": "cancelled",
@@ -144,15 +145,15 @@ def showing_profile(t: Tables, cc: DataFrame, as_of: str | None = None,
         P.count_when(created < F.col("app_created_at")).alias("showings_before_app"),
         P.count_when(created > F.col("app_created_at")).alias("showings_after_app"),
         F.avg(D.seconds_between(start, created)).alias("avg_days_out_scheduled"),
-        F.count_distinct("unit_id").alias("units_visited_count"),
-        P.distinct_list("unit_name").alias("units_visited_list"),
-        F.count_distinct("set_by").alias("showing_set_by_count"),
-        P.distinct_list("set_by").alias("showing_set_by_list"),
         F.min(created).alias("first_showing_created"),
         F.min("showing_id").alias("first_showing_id"),
         F.max(created).alias("last_showing_created"),
         P.ordered_list(F.when(st == "showing_set", F.col("name")),
                        ["start_time", "showing_id"]).alias("leasing_agents_shown_list"))
+    return P.with_distinct(main, j, keys, [
+        {"value": "unit_id", "count_as": "units_visited_count"},
+        {"value": "unit_name", "list_as": "units_visited_list"},
+        {"value": "set_by", "count_as": "showing_set_by_count", "list_as": "showing_set_by_list"}])
 
 
 # ---------------------------------------------------------------------------
