@@ -150,9 +150,11 @@ def containment_join(left: DataFrame, right: DataFrame, *, on: Sequence,
         kcols = list(dict.fromkeys([*names, *left_phones, left_combined, *pair_columns[0]]))
         keyed = left.withColumn("_lk", row_key(kcols))
         ident = keyed.select("_lk", *kcols).dropDuplicates(["_lk"])
-        sub = containment_join(ident, right, left_id="_lk", right_id=right_id, how=how, **kw)
         if how in ("left_anti", "left_semi"):
-            return keyed.join(sub.select("_lk"), "_lk", "left_semi").drop("_lk")
+            hit = containment_join(ident, right, left_id="_lk", right_id=right_id,
+                                   how="left_semi", **kw).select("_lk")
+            return keyed.join(hit, "_lk", how).drop("_lk")
+        sub = containment_join(ident, right, left_id="_lk", right_id=right_id, how=how, **kw)
         rcols = [c for c in sub.columns if c.startswith(right_prefix)]
         return keyed.join(sub.select("_lk", *rcols), "_lk", how).drop("_lk")
     dedup_right = False

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from leadlens.functions import text as T
 from leadlens.operators.match import containment_join
+from leadlens.session import cut_lineage
 
 PHONES = ["mobile_phone", "home_phone", "work_phone"]
 NAMES = ["first_name", "last_name"]
@@ -46,13 +47,16 @@ def not_secondary(role: str = "primary_or_secondary_applicant") -> Column:
     return ~F.col(role).eqNullSafe(F.lit(SECONDARY))
 
 
-def drop_processed_duplicates(prospect_data: DataFrame, blocked: bool = True) -> DataFrame:
+def drop_processed_duplicates(prospect_data: DataFrame, blocked: bool = True,
+                              candidates: DataFrame | None = None) -> DataFrame:
     """JN7: non-secondary prospects that match no *other* processed record.
 
     Two processed records that match each other remove each other, as in
-    the reference.
+    the reference. ``candidates`` (default: all prospects) restricts the
+    left side only; the processed records are always the whole table, so
+    filters on prospect columns may be applied before this step.
     """
-    pd = prospect_data.filter(not_secondary())
+    pd = (prospect_data if candidates is None else candidates).filter(not_secondary())
     right = prospect_data.select("id", *NAMES, *PHONES, "combined", "application_processed_on")
     return containment_join(
         pd, right, on=NAMES, left_id="id", right_id="id",
@@ -102,7 +106,7 @@ def _with_buildings(x: DataFrame, pw_building: DataFrame | None) -> DataFrame:
 
 def prospect_conversion(prospect_data: DataFrame, pw_lease: DataFrame,
                         pw_building: DataFrame | None = None, *,
-                        blocked: bool = True) -> DataFrame:
+                        blocked: bool = True, checkpoint: bool = True) -> DataFrame:
     """PIPE7: the analytics.prospects mart (active columns of the reference).
 
     prospect_data.* plus dups_id / dups_combined (always NULL after the anti
@@ -110,13 +114,20 @@ def prospect_conversion(prospect_data: DataFrame, pw_lease: DataFrame,
     name (primary's lease, else the secondary's). Rows repeat per matching
     lease, as the reference's left joins do.
     """
-    pd = drop_processed_duplicates(prospect_data, blocked)
+    # The WHERE clause reads prospect columns only, so it runs before the
+    # de-duplication match (it commutes with the anti and left joins).
+    cand = prospect_data.filter(
+        (F.col("first_name") != "") & (F.col("last_name") != "")
+        & (F.col("created") >= F.lit(CREATED_FLOOR).cast(prospect_data.schema["created"].dataType)))
+    pd = drop_processed_duplicates(prospect_data, blocked, candidates=cand)
     pd = pd.withColumns({"dups_id": F.lit(None).cast(prospect_data.schema["id"].dataType),
                          "dups_combined": F.lit(None).cast("string")})
     x = attach_secondary(pd, prospect_data)
     x = _with_buildings(x, pw_building)
-    x = x.filter((F.col("first_name") != "") & (F.col("last_name") != "")
-                 & (F.col("created") >= F.lit(CREATED_FLOOR).cast(x.schema["created"].dataType)))
+    # Both lease matches read x twice each (identities, then the join back):
+    # materialise it once in the shared checkpoint folder instead of
+    # re-running the de-duplication match four times.
+    x = cut_lineage(x) if checkpoint else x
     lz = lease_identity(pw_lease)
     x = _lease_match(x, lz, secondary=False, how="left", prefix="pl_", blocked=blocked)
     x = _lease_match(x, lz, secondary=True, how="left", prefix="sl_", blocked=blocked)
@@ -126,16 +137,13 @@ def prospect_conversion(prospect_data: DataFrame, pw_lease: DataFrame,
 
 def partner_list(prospect_data: DataFrame, pw_lease: DataFrame, *, code: str,
                  approved: bool, pw_building: DataFrame | None = None,
-                 blocked: bool = True) -> DataFrame:
+                 blocked: bool = True, checkpoint: bool = True) -> DataFrame:
     """PIPE9 (``approved=False``: no processed application) and PIPE10
     (``approved=True``: processed and approved, not pending), both for one
     lead code and without a matching lease. Rows repeat per secondary lease
     match and per building row, as in the reference."""
-    pd = drop_processed_duplicates(prospect_data, blocked)
-    x = attach_secondary(pd, prospect_data)
-    x = _with_buildings(x, pw_building)
     cond = ((F.col("first_name") != "") & (F.col("last_name") != "")
-            & (F.col("created") >= F.lit(CREATED_FLOOR).cast(x.schema["created"].dataType))
+            & (F.col("created") >= F.lit(CREATED_FLOOR).cast(prospect_data.schema["created"].dataType))
             & (F.col("sub_lead_provider") == code))
     if approved:
         d = F.col("decision")
@@ -143,7 +151,11 @@ def partner_list(prospect_data: DataFrame, pw_lease: DataFrame, *, code: str,
             & d.contains("Approved") & ~d.contains("Pending")
     else:
         cond = cond & F.col("application_processed_on").isNull()
-    x = x.filter(cond)
+    # The WHERE clause reads prospect columns only: apply it first.
+    pd = drop_processed_duplicates(prospect_data, blocked, candidates=prospect_data.filter(cond))
+    x = attach_secondary(pd, prospect_data)
+    x = _with_buildings(x, pw_building)
+    x = cut_lineage(x) if checkpoint else x   # see prospect_conversion
     lz = lease_identity(pw_lease)
     # JN12: "left join pw_leases ... where leasename is null" is an anti join.
     x = _lease_match(x, lz, secondary=False, how="left_anti", prefix="pl_", blocked=blocked)
