@@ -53,22 +53,42 @@ def top_k_per_key(df: DataFrame, key, order: Sequence[Column], k: int,
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
+def order_key(order: Sequence[str | tuple[str, str]]) -> Column:
+    """A struct whose natural ordering is the given ascending sort order.
+
+    Entries are column names (NULLs first, Spark's default) or
+    ``(name, "nulls_last")`` (PostgreSQL's default for ASC).
+    """
+    parts = []
+    for o in order:
+        name, nulls = (o, "nulls_first") if isinstance(o, str) else o
+        flag = F.col(name).isNull() if nulls == "nulls_last" else F.col(name).isNotNull()
+        parts += [flag.alias(f"_n{len(parts)}"), F.col(name).alias(f"_v{len(parts)}")]
+    return F.struct(*parts)
+
+
 def survivor_dedup(rows: DataFrame, base: DataFrame, *, id_col: str,
-                   keys: Sequence[str], order: Sequence[Column],
+                   keys: Sequence[str], order: Sequence[str | tuple[str, str]],
                    keep_if: Column) -> DataFrame:
     """WN1/WN2: drop later copies of an identity unless they carry ``keep_if``.
 
-    ``rows`` is numbered with ``row_number()`` over ``keys`` ordered by
-    ``order`` (give a unique tie-break); every id that has a row numbered
-    above 1 whose ``keep_if`` is not true is removed from ``base`` with an
-    explicit anti join (``NOT IN`` would plan as a null-aware broadcast).
-    As in the reference, numbering runs over ``rows`` as given, so an id
-    that appears twice in ``rows`` can remove itself.
+    Same result as numbering ``rows`` with ``row_number()`` over ``keys``
+    ordered by ``order`` and removing from ``base`` every id with a row
+    numbered above 1 whose ``keep_if`` is not true -- provided ``order`` is
+    unique within a key (give id tie-breaks). "Numbered above 1" is "ordered
+    after the key's first row", so the first row comes from one partial
+    aggregate (``min`` of the order struct) and no window sorts a hot
+    identity in one task. As in the reference, numbering runs over ``rows``
+    as given, so an id that appears twice in ``rows`` can remove itself.
+    The removal is an explicit anti join (``NOT IN`` would plan as a
+    null-aware broadcast).
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    dups = (rows.withColumn("_row", F.row_number().over(w))
-                .filter((F.col("_row") > 1) & ~F.coalesce(keep_if, F.lit(False)))
-                .select(id_col).distinct())
+    from leadlens.operators.profile import join_null_safe
+    ranked = rows.withColumn("_ord", order_key(order))
+    first = ranked.groupBy(*keys).agg(F.min("_ord").alias("_first"))
+    dups = (join_null_safe(ranked, first, keys, how="inner")
+            .filter((F.col("_ord") > F.col("_first")) & ~F.coalesce(keep_if, F.lit(False)))
+            .select(id_col).distinct())
     return base.join(dups, on=id_col, how="left_anti")
 
 

@@ -67,7 +67,7 @@ def lead_attribution(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     return master, sub, desk
 
 
-def dedup_rows(t: Tables) -> tuple[DataFrame, list[Column]]:
+def dedup_rows(t: Tables) -> tuple[DataFrame, list]:
     """WN1/WN2 input: customer x applicant rows with the processed flag, and
     their numbering order (created_at, then ids as tie-breaks)."""
     c = t["customers"]
@@ -81,8 +81,8 @@ def dedup_rows(t: Tables) -> tuple[DataFrame, list[Column]]:
              .join(processed_last_application(t).select(
                    "applicant_id", F.lit(True).alias("has_processed")), "applicant_id", "left")
              .filter((F.col("first_name") != "") & (F.col("last_name") != "")))
-    return rows, [F.col("created_at").asc(), F.col("id").asc(),
-                  F.col("applicant_id").asc_nulls_first()]
+    # PostgreSQL sorts NULL created_at last; ids make the order unique.
+    return rows, [("created_at", "nulls_last"), "id", "applicant_id"]
 
 
 def customers_clean(t: Tables) -> DataFrame:

@@ -27,7 +27,7 @@ def test_survivor_dedup(spark):
         "id long, k string, created timestamp, applicant long, keep boolean")
     base = rows.select("id").distinct()
     out = S.survivor_dedup(rows, base, id_col="id", keys=["k"],
-                           order=[F.col("created"), F.col("id"), F.col("applicant").asc_nulls_first()],
+                           order=["created", "id", "applicant"],
                            keep_if=F.col("keep"))
     assert sorted(r[0] for r in out.collect()) == [1, 2]
 
