@@ -96,23 +96,31 @@ def _lease_match(x: DataFrame, leases: DataFrame, *, secondary: bool, how: str,
         pair_columns=([created], ["createdtime"]), blocked=blocked, right_prefix=prefix)
 
 
-def _with_buildings(x: DataFrame, pw_building: DataFrame | None) -> DataFrame:
-    """JN10: the building feed joined on abbreviation (row multiplier only)."""
+def _with_buildings(x: DataFrame, pw_building: DataFrame | None,
+                    keep_columns: bool = False) -> DataFrame:
+    """JN10: the building feed joined on abbreviation (a row multiplier only,
+    unless ``keep_columns`` keeps the feed's columns for the funnel step)."""
     if pw_building is None:
         return x
-    b = pw_building.select(F.col("buildingabbreviation").alias("_bld"))
+    if keep_columns:
+        b = pw_building.withColumn("_bld", F.col("buildingabbreviation"))
+    else:
+        b = pw_building.select(F.col("buildingabbreviation").alias("_bld"))
     return x.join(b, x["desired_building_name"] == b["_bld"], "left").drop("_bld")
 
 
 def prospect_conversion(prospect_data: DataFrame, pw_lease: DataFrame,
                         pw_building: DataFrame | None = None, *,
-                        blocked: bool = True, checkpoint: bool = True) -> DataFrame:
+                        blocked: bool = True, checkpoint: bool = True,
+                        funnel_inputs: bool = False) -> DataFrame:
     """PIPE7: the analytics.prospects mart (active columns of the reference).
 
     prospect_data.* plus dups_id / dups_combined (always NULL after the anti
     join, kept for parity), the secondary applicant and the matched lease
     name (primary's lease, else the secondary's). Rows repeat per matching
-    lease, as the reference's left joins do.
+    lease, as the reference's left joins do. ``funnel_inputs`` also keeps
+    the building feed's columns and the primary lease's columns (``pl_*``)
+    for ``plans.funnel``.
     """
     # The WHERE clause reads prospect columns only, so it runs before the
     # de-duplication match (it commutes with the anti and left joins).
@@ -123,7 +131,7 @@ def prospect_conversion(prospect_data: DataFrame, pw_lease: DataFrame,
     pd = pd.withColumns({"dups_id": F.lit(None).cast(prospect_data.schema["id"].dataType),
                          "dups_combined": F.lit(None).cast("string")})
     x = attach_secondary(pd, prospect_data)
-    x = _with_buildings(x, pw_building)
+    x = _with_buildings(x, pw_building, keep_columns=funnel_inputs)
     # Both lease matches read x twice each (identities, then the join back):
     # materialise it once in the shared checkpoint folder instead of
     # re-running the de-duplication match four times.
@@ -132,9 +140,23 @@ def prospect_conversion(prospect_data: DataFrame, pw_lease: DataFrame,
     x = _lease_match(x, lz, secondary=False, how="left", prefix="pl_", blocked=blocked)
     x = _lease_match(x, lz, secondary=True, how="left", prefix="sl_", blocked=blocked)
     keep = [*pd.columns, "secondary_customer_id", "secondary_first_name", "secondary_last_name"]
+    if funnel_inputs:
+        extra = [c for c in (pw_building.columns if pw_building is not None else [])
+                 if c not in keep]
+        keep += extra + [c for c in x.columns if c.startswith("pl_")]
     return x.select(*keep, F.coalesce("pl_leasename", "sl_leasename").alias("lease_name"))
 
 
+def funnel_mart(prospect_data: DataFrame, pw_lease: DataFrame, pw_building: DataFrame, *,
+                channels=(), agency_codes=(), blocked: bool = True) -> DataFrame:
+    """PIPE7 plus the dormant funnel columns (DM2-DM8), one row per mart row."""
+    from leadlens.plans.funnel import funnel_columns
+    m = prospect_conversion(prospect_data, pw_lease, pw_building, blocked=blocked,
+                            funnel_inputs=True)
+    return m.select("id", "lease_name",
+                    *funnel_columns(m, channels=channels, agency_codes=agency_codes))
+
+
 def partner_list(prospect_data: DataFrame, pw_lease: DataFrame, *, code: str,
                  approved: bool, pw_building: DataFrame | None = None,
                  blocked: bool = True, checkpoint: bool = True) -> DataFrame:
