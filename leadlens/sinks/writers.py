@@ -83,3 +83,19 @@ def sql_types(df: DataFrame) -> dict[str, str]:
 def jdbc_column_types(df: DataFrame) -> str:
     """``createTableColumnTypes`` option text for a JDBC full refresh."""
     return ", ".join(f"{c} {t.upper()}" for c, t in sql_types(df).items())
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, *, properties: Mapping[str, str] | None = None,
+               typed: bool = True, num_partitions: int | None = None) -> None:
+    """SNK1 into a relational warehouse: overwrite with ``truncate`` so the
+    table (and its grants) survives, column types from the schema (SNK6),
+    ``numPartitions`` parallel connections."""
+    w = df.write.mode("overwrite").format("jdbc").option("url", url).option("dbtable", table) \
+        .option("truncate", "true")
+    if typed:
+        w = w.option("createTableColumnTypes", jdbc_column_types(df))
+    if num_partitions:
+        w = w.option("numPartitions", str(num_partitions))
+    for k, v in (properties or {}).items():
+        w = w.option(k, v)
+    w.save()

@@ -107,7 +107,9 @@ def read_report(spark: SparkSession, path: str, *, newest_only: bool = True,
     only the newest document is read; ``newest_only=False`` unions every
     document that shares the newest header.
     """
-    docs = read_documents(spark, path).cache()
+    # Documents are read twice (header, then records) rather than cached:
+    # a report can be large and the second read is a plain file scan.
+    docs = read_documents(spark, path)
     header = header_of(docs)
     if newest_only:
         newest = docs.agg(F.max_by("path", F.struct("modified", "path")).alias("p")).first()["p"]
