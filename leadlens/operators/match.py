@@ -109,6 +109,34 @@ def row_key(cols: Sequence[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
 
 
+def identity_matches(left: DataFrame, right: DataFrame, *, on: Sequence,
+                     left_phones: Sequence[str], left_combined: str,
+                     key_col: str = "_lk", extra_key: Sequence[str] = (), **kw) -> DataFrame:
+    """Matches of the *distinct identities* of ``left``: (key_col, prefixed right columns).
+
+    The key is ``row_key`` over the left identity columns (names, phones,
+    combined and ``extra_key``); compute the same key on any wide frame
+    holding those columns and join the result in with one equi-join. This
+    keeps the wide frame out of the match plan, so it is scanned once.
+    ``kw`` takes the remaining ``containment_join`` arguments (how='inner'
+    or 'left_semi' typical).
+    """
+    names = [o if isinstance(o, str) else o[0] for o in on]
+    kcols = list(dict.fromkeys([*names, *left_phones, left_combined, *extra_key]))
+    ident = left.select(row_key(kcols).alias(key_col), *kcols).dropDuplicates([key_col])
+    out = containment_join(ident, right, on=on, left_id=key_col, left_phones=left_phones,
+                           left_combined=left_combined, **kw)
+    prefix = kw.get("right_prefix", "r_")
+    return out.select(key_col, *[c for c in out.columns if c.startswith(prefix)])
+
+
+def identity_key(on: Sequence, left_phones: Sequence[str], left_combined: str,
+                 extra_key: Sequence[str] = ()) -> Column:
+    """The key ``identity_matches`` uses, for the wide frame."""
+    names = [o if isinstance(o, str) else o[0] for o in on]
+    return row_key(list(dict.fromkeys([*names, *left_phones, left_combined, *extra_key])))
+
+
 def containment_join(left: DataFrame, right: DataFrame, *, on: Sequence,
                      left_id: str | None, right_id: str | None,
                      left_phones: Sequence[str], right_phones: Sequence[str],

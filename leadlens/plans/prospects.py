@@ -24,6 +24,7 @@ from leadlens.functions import text as T
 from leadlens.operators import match as M
 from leadlens.operators import profile as P
 from leadlens.operators import select as S
+from leadlens.session import cut_lineage
 
 Tables = Mapping[str, DataFrame]
 CREATED_FLOOR = "2013-01-01 00:00:00"
@@ -290,14 +291,19 @@ def _opt(df: DataFrame, c: str, typ: str = "string") -> Column:
 
 
 def prospect_master(t: Tables, *, as_of: str | None = None, stripped: bool = False,
-                    pii: str = "keep", blocked: bool = True) -> DataFrame:
+                    pii: str = "keep", blocked: bool = True,
+                    checkpoint: bool = True) -> DataFrame:
     """PIPE6: one wide row per clean customer (x lead-attribution rows).
 
     Customers listed as occupants are removed first (explicit anti join).
+    ``customers_clean`` feeds the master, the showing profile and the
+    showing match; it is materialised once in the shared checkpoint folder
+    (``checkpoint=True``) instead of being re-derived in each branch.
     """
-    cc = customers_clean(t)
+    cc_all = customers_clean(t)
+    cc_all = cut_lineage(cc_all) if checkpoint else cc_all
     occ = t["applications_occupants"].select(F.col("customer_id").alias("id")).distinct()
-    cc = cc.join(occ, "id", "left_anti")
+    cc = cc_all.join(occ, "id", "left_anti")
 
     prospects = S.latest_per_key(t["prospects"], "customer_id", "id")
     applicants = S.latest_per_key(t["applicants"], "customer_id", "id")
@@ -318,13 +324,16 @@ def prospect_master(t: Tables, *, as_of: str | None = None, stripped: bool = Fal
 
     # Showing counts, matched back by the containment rule (JN6).
     # Parity: raw phones are looked up in stripped ``combined`` strings.
+    # The showing profile groups the *unfiltered* clean customers, as the
+    # reference's CTE does; matches are computed per distinct identity and
+    # joined into the wide frame by identity key.
     phones = CLEAN_PHONES if stripped else RAW_PHONES
-    sc = showing_profile(t, cc, as_of, phones)
-    x = M.containment_join(
-        x, sc, on=NAMES, left_id=None, right_id=None,
-        left_phones=phones, right_phones=phones,
-        left_combined="combined", right_combined="combined", how="left",
-        blocked=blocked, right_prefix="sc_")
+    sc = showing_profile(t, cc_all, as_of, phones)
+    spec = dict(on=NAMES, left_phones=phones, left_combined="combined")
+    matches = M.identity_matches(cc, sc, **spec, right_id=None, right_phones=phones,
+                                 right_combined="combined", how="inner",
+                                 blocked=blocked, right_prefix="sc_")
+    x = x.withColumn("_lk", M.identity_key(**spec)).join(matches, "_lk", "left").drop("_lk")
 
     # Applications and approvals.
     last_app = processed_last_application(t)

@@ -75,11 +75,14 @@ def showing_attribution(t: Tables, *, blocked: bool = True) -> DataFrame:
     rows = (sh.select(F.col("id").alias("showing_id"), "prospect_id", "start_time", "unit_id")
               .join(pr, "prospect_id", "left").join(ident, "customer_id", "inner"))
     la = applicant_applications(t, cust)
-    matched = M.containment_join(
-        rows, la.select(*NAMES, "combined", *PHONES, "application_id"),
-        on=NAMES, left_id=None, right_id=None, left_phones=PHONES, right_phones=PHONES,
-        left_combined="combined", right_combined="combined", how="left",
-        blocked=blocked, right_prefix="la_")
+    # The match depends on the customer identity only: compute it once per
+    # distinct identity and join it into the showing rows by identity key.
+    spec = dict(on=NAMES, left_phones=PHONES, left_combined="combined")
+    hits = M.identity_matches(ident, la.select(*NAMES, "combined", *PHONES, "application_id"),
+                              **spec, right_id=None, right_phones=PHONES,
+                              right_combined="combined", how="inner", blocked=blocked,
+                              right_prefix="la_")
+    matched = rows.withColumn("_lk", M.identity_key(**spec)).join(hits, "_lk", "left")
     grouped = matched.groupBy(*NAMES, "combined", "start_time", "unit_id").agg(
         F.max("showing_id").alias("showing_id"),
         F.min("la_application_id").alias("application_id"))

@@ -22,11 +22,24 @@ def duck():
     return con
 
 
+# Composite plans over derived operational tables: checked value by value on
+# hand fixtures (tests/test_plans.py) instead of by an oracle.
+NO_ORACLE = {"q_prospect_master", "q_showing_attribution"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
+
+
+@pytest.mark.parametrize("name", sorted(NO_ORACLE))
+def test_composite_plans_run(spark, name):
+    df = E.queries()[name](spark, SF)
+    assert df.count() > 0
+    if name == "q_prospect_master":
+        assert len(df.columns) == 132
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     sc, sr = rows_of(df.columns, [tuple(r) for r in df.collect()])
