@@ -346,3 +346,52 @@ def _matched_left_ids(s: _Sides, direction, exclude_self) -> DataFrame:
     for h in hits[1:]:
         res = res.unionByName(h)
     return res.distinct()
+
+
+def containment_min(left: DataFrame, right: DataFrame, *, on: Sequence, left_id: str,
+                    left_phones: Sequence[str], right_phones: Sequence[str],
+                    left_combined: str, right_combined: str, value: str,
+                    direction: str = "longer", largest: bool = False,
+                    out: str | None = None) -> DataFrame:
+    """(left_id, min/max of right ``value`` over all matching right rows).
+
+    Exact and pair-free: min and max decompose, so the right side is
+    reduced to the blocking values first -- (names, haystack) for "left
+    phone in right haystack", (names, phone, haystack length) for "right
+    phone in left haystack" -- each carrying the min (max) of ``value``.
+    Candidates then grow with distinct phone values per name, not with the
+    people behind them. Left ids without any match are absent.
+    """
+    s = _Sides(left, right, on, left_id, "_unused", left_phones, right_phones,
+               left_combined, right_combined, "r_")
+    agg = F.max if largest else F.min
+    out = out or value
+    L = _narrow_left(s)
+    names_r = [b for _, b in s.on]
+    rename = {b: a for a, b in s.on}
+    lc = F.col(s.lc)
+
+    def as_left_names(df: DataFrame) -> DataFrame:
+        return df.select([F.col(c).alias(rename.get(c, c)) for c in df.columns])
+
+    hits = []
+    rh = (right.select(*names_r, F.col(s.rc).alias("_hay"), F.col(value).alias("_v"))
+               .filter(F.length("_hay") >= SLICE).groupBy(*names_r, "_hay")
+               .agg(agg("_v").alias("_v")))
+    rh = as_left_names(_explode_slices(rh, "_hay"))
+    cond = F.contains(F.col("_hay"), F.col("_needle"))
+    if direction == "longer":
+        cond = cond & (F.length(lc) < F.length("_hay"))
+    hits.append(_explode_needles(L, s.lph).join(rh, on=[*s.l_names, "_k"], how="inner")
+                .filter(cond).select(s.lid, "_v"))
+    if direction == "longer":
+        rn = _explode_needles(right.select(*names_r, *s.rph, F.col(value).alias("_v"),
+                                           F.length(s.rc).alias("_rlen")), s.rph)
+        rn = as_left_names(rn.groupBy(*names_r, "_needle", "_k", "_rlen").agg(agg("_v").alias("_v")))
+        cond = F.contains(lc, F.col("_needle")) & (F.length(lc) >= F.col("_rlen"))
+        hits.append(_explode_slices(L, s.lc).join(rn, on=[*s.l_names, "_k"], how="inner")
+                    .filter(cond).select(s.lid, "_v"))
+    res = hits[0]
+    for h in hits[1:]:
+        res = res.unionByName(h)
+    return res.groupBy(s.lid).agg(agg("_v").alias(out))

@@ -74,14 +74,21 @@ def showing_attribution(t: Tables, *, blocked: bool = True) -> DataFrame:
     ident = cust.select(F.col("id").alias("customer_id"), *NAMES, "combined", *PHONES)
     rows = (sh.select(F.col("id").alias("showing_id"), "prospect_id", "start_time", "unit_id")
               .join(pr, "prospect_id", "left").join(ident, "customer_id", "inner"))
-    la = applicant_applications(t, cust)
-    # The match depends on the customer identity only: compute it once per
-    # distinct identity and join it into the showing rows by identity key.
+    la = applicant_applications(t, cust).select(*NAMES, "combined", *PHONES, "application_id")
+    # Only the smallest matched application id per showing group is used, and
+    # the match depends on the customer identity only: compute that minimum
+    # once per distinct identity, without materialising matching pairs.
     spec = dict(on=NAMES, left_phones=PHONES, left_combined="combined")
-    hits = M.identity_matches(ident, la.select(*NAMES, "combined", *PHONES, "application_id"),
-                              **spec, right_id=None, right_phones=PHONES,
-                              right_combined="combined", how="inner", blocked=blocked,
-                              right_prefix="la_")
+    if blocked:
+        idents = ident.select(M.identity_key(**spec).alias("_lk"), *NAMES, "combined", *PHONES) \
+                      .dropDuplicates(["_lk"])
+        hits = M.containment_min(idents, la, **spec, left_id="_lk", right_phones=PHONES,
+                                 right_combined="combined", value="application_id",
+                                 out="la_application_id")
+    else:
+        hits = M.identity_matches(ident, la, **spec, right_id=None, right_phones=PHONES,
+                                  right_combined="combined", how="inner", blocked=False,
+                                  right_prefix="la_")
     matched = rows.withColumn("_lk", M.identity_key(**spec)).join(hits, "_lk", "left")
     grouped = matched.groupBy(*NAMES, "combined", "start_time", "unit_id").agg(
         F.max("showing_id").alias("showing_id"),

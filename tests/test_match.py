@@ -82,3 +82,18 @@ def test_id_less_sides_keep_multiplicity(spark):
                            left_phones=PH, right_phones=PH, left_combined="c",
                            right_combined="c", how="left")
     assert out.count() == 6
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+@pytest.mark.parametrize("direction", ["longer", "l_in_r"])
+def test_containment_min_equals_min_over_pairs(spark, seed, direction):
+    from leadlens.operators.match import containment_min
+    p = people(spark, rand_rows(seed))
+    got = containment_min(p, p, on=["fn", "ln"], left_id="id", left_phones=PH, right_phones=PH,
+                          left_combined="c", right_combined="c", value="id",
+                          direction=direction, out="m")
+    pairs = containment_join(p, p, on=["fn", "ln"], left_id="id", right_id="id",
+                             left_phones=PH, right_phones=PH, left_combined="c",
+                             right_combined="c", how="inner", direction=direction, blocked=False)
+    want = pairs.groupBy("id").agg(F.min("r_id").alias("m"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
