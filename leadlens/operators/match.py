@@ -189,8 +189,13 @@ def containment_join(left: DataFrame, right: DataFrame, *, on: Sequence,
     if right_id is None:
         if exclude_self:
             raise ValueError("exclude_self needs a right_id")
-        right = right.withColumn("_rk", row_key(right.columns))
-        right_id, dedup_right = "_rk", True
+        if how in ("left_anti", "left_semi"):
+            # Existence only: right rows need no identity (and no dedup shuffle).
+            right = right.withColumn("_rk", F.lit(0).cast("long"))
+            right_id = "_rk"
+        else:
+            right = right.withColumn("_rk", row_key(right.columns))
+            right_id, dedup_right = "_rk", True
     s = _Sides(left, right, on, left_id, right_id, left_phones, right_phones,
                left_combined, right_combined, right_prefix)
     if not blocked:
