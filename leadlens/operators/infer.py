@@ -103,14 +103,14 @@ def column_stats(df: DataFrame, columns: list[str] | None = None) -> dict[str, C
 
 
 def strip_cells(df: DataFrame) -> DataFrame:
-    """SC22+SC23 over every string column (removeNonAscii)."""
+    """SC22+SC23 over every string column."""
     return df.select([T.strip_control(T.strip_non_ascii(F.col(f.name))).alias(f.name)
                       if isinstance(f.dataType, Ty.StringType) else F.col(f.name)
                       for f in df.schema.fields])
 
 
 def anchor_cells(df: DataFrame, exact: bool = False) -> DataFrame:
-    """SC24 over every string column (linkClean)."""
+    """SC24 over every string column."""
     return df.select([T.anchor_name(F.col(f.name), exact).alias(f.name)
                       if isinstance(f.dataType, Ty.StringType) else F.col(f.name)
                       for f in df.schema.fields])
