@@ -46,7 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="leadlens-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        d = tempfile.mkdtemp(prefix="leadlens-ckpt-")   # local mode (tests) only
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
