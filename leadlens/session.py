@@ -69,3 +69,15 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/leadlens-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-partitioned input before CPU-heavy per-row work.
+
+    When a scan yields fewer partitions than the cluster's default
+    parallelism (a small file, a single row group), one task would do all
+    the text work; a round-robin repartition spreads it. Large inputs
+    already have enough splits and pass through without a shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
