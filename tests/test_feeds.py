@@ -6,7 +6,6 @@ import os
 import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from leadlens.operators import infer as I
 from leadlens.plans.feeds import cleaned_feed, refresh
