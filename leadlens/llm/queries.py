@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.llm import exact_dedup, simhash
+from leadlens.llm import decontaminate, exact_dedup, simhash, toxicity
 from leadlens.llm.tables import table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id").withColumn("spans", F.to_json("spans"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every second document (by a hash of its id) arrives as a batch at a
     snapshot of the others."""
@@ -24,9 +29,17 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL = {
