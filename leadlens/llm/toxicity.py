@@ -5,7 +5,9 @@ for chance (a likelihood ratio test at one expected false term among all
 words). Each word counts with its number of different neighbours, so the words
 of one text that was copied a thousand times don't become terms. Levenshtein
 automata over the terms' trie catch misspellings, but for words that clean
-labelled texts use themselves. Each hit gets a weight: less for more edits, and
+labelled texts use themselves. Stems (word beginnings of ``STEMS`` code points)
+are tested like words, so that inflected forms of a term that no labelled text
+holds are found as well. Each hit gets a weight: less for more edits, and
 less where its context window looks like a quotation (between quotation marks,
 or beside a word of saying). A logistic model over the summed weights gives the
 score.
@@ -28,6 +30,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -41,6 +44,8 @@ from leadlens.llm.tables import Scratch
 SAMPLE_ROWS = 100_000
 TERMS = 20_000
 NEIGHBOURS = 100_000       # clean words near a term, most frequent first
+STEMS = (4, 5, 6)
+PURITY, STEM_PURITY = 0.5, 0.9       # least share of toxic texts among those that hold a term, a stem
 WINDOW = 60                # code points of context on each side
 EDIT_WEIGHT = (1.0, 0.7, 0.4)
 QUOTED_WEIGHT = 0.25
@@ -64,12 +69,14 @@ def held_out(doc_id: Column) -> Column:
 @dataclass
 class Model:
     terms: list[str]
+    stems: list[str]
     clean: frozenset        # words near a term that clean texts use
     weights: tuple[float, ...] = ()      # bias, mass, distinct terms, length
 
     def matcher(self):
         """word (bytes) -> (edits, term) or None, remembered for words seen."""
         automaton, seen = LexiconAutomaton(self.terms), {}
+        stems = {x: len(self.terms) + k for k, x in enumerate(self.stems)}
 
         def find(word: bytes):
             if word not in seen:
@@ -77,7 +84,11 @@ class Model:
                     seen.clear()
                 text = word.decode()
                 hit = automaton.match(text)
-                seen[word] = None if hit and hit[0] and text in self.clean else hit
+                if hit and hit[0] and text in self.clean:
+                    hit = None
+                if hit is None or hit[0]:
+                    hit = next(((0, stems[x]) for n in STEMS if (x := text[:n]) in stems), hit)
+                seen[word] = hit
             return seen[word]
         return find
 
@@ -121,24 +132,33 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) ->
             .where(~held_out(F.col("id"))).join(known, "id").select("id", "text", "toxic"))
 
 
+def _forms(words: set[bytes]) -> set[str]:
+    """Words and their stems; a stem ends in an asterisk."""
+    words = {w.decode() for w in words}
+    return words.union(*({w[:n] + "*" for w in words if len(w) >= n} for n in STEMS))
+
+
 def _word_counts(rows: DataFrame) -> DataFrame:
-    """word, toxic and clean document frequency, and a 64-bit sketch of the
-    neighbours it has in toxic texts."""
+    """word or stem, toxic and clean document frequency, and a 64-bit sketch
+    of the neighbours it has in toxic texts."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             clean, toxic, beside = Counter(), Counter(), {}
             for text, label in zip(pdf["text"], pdf["toxic"], strict=True):
                 words = words_of(text)
                 if not label:
-                    clean.update(set(words))
+                    clean.update(_forms(set(words)))
                     continue
-                toxic.update(set(words))
-                ringed = [b"", *words, b""]
+                toxic.update(_forms(set(words)))
+                ringed, around = [b"", *words, b""], {}
                 for a, w, z in zip(ringed, words, ringed[2:], strict=False):
-                    beside[w] = beside.get(w, 0) | 1 << _bit(a, z)
+                    around[w] = around.get(w, 0) | 1 << _bit(a, z)
+                for w, bits in around.items():
+                    for form in _forms({w}):
+                        beside[form] = beside.get(form, 0) | bits
             every = [*clean, *(w for w in toxic if w not in clean)]
             sketch = np.array([beside.get(w, 0) for w in every], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"word": [w.decode() for w in every], "toxic": [toxic[w] for w in every],
+            yield pd.DataFrame({"word": every, "toxic": [toxic[w] for w in every],
                                 "clean": [clean[w] for w in every], "sketch": sketch})
     return (rows.mapInPandas(count, "word string, toxic long, clean long, sketch long")
             .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"),
@@ -165,26 +185,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
              .agg(F.count(F.lit(1)).alias("n")).collect()}
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not n_toxic or not n_clean:
-        return Model([], frozenset())
+        return Model([], [], frozenset())
     counts = work.write(_word_counts(rows), "words")
     marks = F.bit_count("sketch").cast("double")
     contexts = F.when(marks >= 64, F.lit(266.0)).otherwise(-64.0 * F.log(1.0 - marks / 64.0))
     effective = F.least(F.col("toxic").cast("double"), F.round(contexts))
-    chance = 2.0 * math.log(max(counts.count(), 2))
+    chance = NormalDist().inv_cdf(1 - 1 / max(counts.count(), 2)) ** 2
     scored = counts.withColumn("ratio", _ratio(effective, F.col("clean"), n_toxic, n_clean))
-    terms = sorted(r["word"] for r in scored.where(F.col("ratio") > chance)
-                   .orderBy(F.desc("ratio"), "word").limit(TERMS).collect())
-    lexicon = Model(terms, frozenset())
+    least = F.when(F.col("word").endswith("*"), F.lit(STEM_PURITY)).otherwise(F.lit(PURITY))
+    found = [r["word"] for r in scored.where((F.col("ratio") > chance)
+                                             & (effective >= least * (effective + F.col("clean"))))
+             .orderBy(F.desc("ratio"), "word").limit(TERMS).collect()]
+    terms = sorted(w for w in found if not w.endswith("*"))
+    stems = sorted(w[:-1] for w in found if w.endswith("*"))
+    lexicon = Model(terms, stems, frozenset())
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find = lexicon.matcher()
         for pdf in batches:
             hits = [find(w.encode()) for w in pdf["word"]]
             yield pdf[[h is not None and h[0] > 0 for h in hits]]
-    clean = frozenset(r["word"] for r in counts.where("clean > 0").select("word", "clean")
+    clean = frozenset(r["word"] for r in counts.where("clean > 0 and not endswith(word, '*')").select("word", "clean")
                       .mapInPandas(near, "word string, clean long")
                       .orderBy(F.desc("clean"), "word").limit(NEIGHBOURS).collect())
-    model = Model(terms, clean)
+    model = Model(terms, stems, clean)
     cases = rows.select("toxic", _features(model)(F.col("text")).alias("f")).select("toxic", "f.*").collect()
     x = np.array([[1.0, r["mass"], r["distinct"], r["words"]] for r in cases])
     model.weights = _logistic(x, np.array([r["toxic"] > 0 for r in cases], dtype=float))
