@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.llm import decontaminate, exact_dedup, simhash, toxicity
+from leadlens.llm import decontaminate, exact_dedup, language_id, simhash, toxicity
 from leadlens.llm.tables import table
 
 
@@ -23,6 +23,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("sha").alias("text_sha256"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identified(docs, language_id.fit(docs)).withColumnRenamed("id", "doc_id")
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -38,6 +43,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_language_id": op7_language_id,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_toxicity": op9_toxicity,
 }
