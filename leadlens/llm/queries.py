@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.llm import decontaminate, exact_dedup, language_id, simhash, toxicity
+from leadlens.llm import decontaminate, exact_dedup, language_id, sentencepiece_tokens, simhash, toxicity
 from leadlens.llm.tables import table
 
 
@@ -14,6 +14,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id").withColumn("spans", F.to_json("spans"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = sentencepiece_tokens.tokens(table(spark, sf_dir, "documents"))
+    return done.select(F.col("id").alias("doc_id"), "n_tokens",
+                       F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "roundtrip", "parity")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every second document (by a hash of its id) arrives as a batch at a
     snapshot of the others."""
@@ -42,6 +48,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_simhash_dedup": op8_simhash_dedup,
