@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.llm import decontaminate, exact_dedup, language_id, sentencepiece_tokens, simhash, toxicity
+from leadlens.llm import (decontaminate, exact_dedup, language_id, pii, sentencepiece_tokens, simhash,
+                          toxicity)
 from leadlens.llm.tables import table
 
 
@@ -14,6 +15,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id").withColumn("spans", F.to_json("spans"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2("base", 256).alias("base_sha256"), F.col("all").alias("spans"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = sentencepiece_tokens.tokens(table(spark, sf_dir, "documents"))
     return done.select(F.col("id").alias("doc_id"), "n_tokens",
@@ -48,6 +55,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op3_personal_data": op3_personal_data,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,

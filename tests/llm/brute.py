@@ -75,3 +75,29 @@ def repeated_bytes(docs, size=200):
         spans = len(re.findall(rb"\x01+", bytes(gone)))
         out.append((d, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + k % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def base_spans(text):
+    """Spans (start, rank, kind, end) of the base kinds."""
+    out = []
+    for rank, (kind, pattern) in enumerate(BASE.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            if {"email": True, "ip": all(int(p) <= 255 for p in m.group().split(".")) if kind == "ip" else True,
+                    "card": 12 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]:
+                out.append((m.start(), rank, kind, m.end()))
+    return sorted(out)
