@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.llm import (decontaminate, exact_dedup, language_id, pii, sentencepiece_tokens, simhash,
-                          toxicity)
+                          suffix_dedup, toxicity)
 from leadlens.llm.tables import table
 
 
@@ -53,6 +53,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).withColumnRenamed("id", "doc_id")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents (by a hash of the id) are indexed, the others scanned against them."""
+    done = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"),
+                                     F.pmod(F.xxhash64("id"), F.lit(2)), batches=2)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_personal_data": op3_personal_data,
@@ -61,6 +70,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL = {
