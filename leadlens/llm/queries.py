@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.llm import (decontaminate, exact_dedup, language_id, pii, sentencepiece_tokens, simhash,
-                          suffix_dedup, toxicity)
+from leadlens.llm import (decontaminate, exact_dedup, html_text, language_id, pii,
+                          sentencepiece_tokens, simhash, suffix_dedup, toxicity, url_filter)
 from leadlens.llm.tables import table
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id").withColumn("spans", F.to_json("spans"))
@@ -21,6 +26,12 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("base", 256).alias("base_sha256"), F.col("all").alias("spans"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return (url_filter.judged(pages, url_filter.fit(pages))
+            .withColumn("words", F.array_join("words", " ")))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = sentencepiece_tokens.tokens(table(spark, sf_dir, "documents"))
     return done.select(F.col("id").alias("doc_id"), "n_tokens",
@@ -63,8 +74,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op2_decontamination": op2_decontamination,
     "op3_personal_data": op3_personal_data,
+    "op4_url_filter": op4_url_filter,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
