@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.llm import fuse_filter
-from leadlens.llm.tables import Scratch, narrowed
+from leadlens.llm.tables import Scratch, narrowed, row_key
 
 KEYS_PER_SHARD = 250_000
 BLANKS = " \t\n\x0b\x0c\r"
@@ -43,7 +43,7 @@ def normalised(text: Column) -> Column:
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     norm = normalised(F.col("__text"))
     return narrowed(docs, id_col, text_col).select(
-        F.col("__id").alias("id"), F.sha2(F.encode(norm, "UTF-8"), 256).alias("sha"),
+        F.col("__id").alias("id"), row_key(F.col("__id"), F.col("__text")).alias("key"), F.sha2(F.encode(norm, "UTF-8"), 256).alias("sha"),
         F.xxhash64(norm).alias("d64"), F.length("__text").cast("long").alias("n_points"))
 
 
@@ -99,7 +99,7 @@ def dedup(docs: DataFrame, is_new: Column, id_col: str = "doc_id", text_col: str
     """Verdict on every row of ``docs``: those where ``is_new`` (over ``id``)
     holds are the incoming batch, the others the snapshot.
 
-    Returns id, sha, keep_id, group_size, kept."""
+    Returns id, key (of id and text, see ``row_key``), sha, keep_id, group_size, kept."""
     work = Scratch(docs.sparkSession, "exact-dedup")
     rows = work.write(digests(docs, id_col, text_col).withColumn("side", is_new.cast("int")), "digests")
     both = work.write(
@@ -119,5 +119,5 @@ def dedup(docs: DataFrame, is_new: Column, id_col: str = "doc_id", text_col: str
                       F.explode(F.when(F.col("part") == 2, F.array(F.lit(0), F.lit(1)))
                                 .otherwise(F.array("part"))).alias("side")))
     return (rows.join(groups, ["sha", "side"])
-            .select("id", "sha", "keep_id", "group_size",
+            .select("id", "key", "sha", "keep_id", "group_size",
                     F.col("id").eqNullSafe(F.col("keep_id")).alias("kept")))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.llm.components import connected_components
-from leadlens.llm.tables import Scratch, narrowed
+from leadlens.llm.tables import Scratch, narrowed, row_key
 
 HOT_BUCKET = 4096
 _STRIDE = 1 << 14
@@ -71,7 +71,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, words) for t in texts], dtype="int64")
-    return narrowed(docs, id_col, text_col).select(F.col("__id").alias("id"), of("__text").alias("fp"))
+    return narrowed(docs, id_col, text_col).select(
+        F.col("__id").alias("id"), row_key(F.col("__id"), F.col("__text")).alias("key"), of("__text").alias("fp"))
 
 
 def _masks(max_bits: int) -> list[int]:
@@ -181,7 +182,7 @@ def _bucketed(filed: DataFrame, max_bits: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = 4, max_bits: int = 4) -> DataFrame:
-    """id, fp and component_id of every row."""
+    """id, key (of id and text, see ``row_key``), fp and component_id of every row."""
     work = Scratch(docs.sparkSession, "simhash")
     rows = work.write(fingerprints(docs, id_col, text_col, words), "fingerprints")
     distinct = work.write(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
@@ -190,4 +191,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select("fp", "least", F.coalesce("label", "fp").alias("label")))
     roots = named.groupBy("label").agg(F.min("least").alias("component_id"))
     named = named.join(roots, "label").select("fp", "component_id")
-    return rows.join(named, "fp").select("id", "fp", "component_id")
+    return rows.join(named, "fp").select("id", "key", "fp", "component_id")

@@ -20,9 +20,12 @@ def narrowed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def row_key(id_: Column, text: Column) -> Column:
+    """Digest of an id and a text (null: empty), equal for rows that repeat both.
+
+    It is never null, unlike an id, so plain equi-joins on it lose no row."""
+    return F.sha2(F.concat_ws("\x00", F.coalesce(id_.cast("string"), F.lit("\x01")),
+                              F.coalesce(text, F.lit(""))), 256)
 
 
 class Scratch:
