@@ -41,7 +41,7 @@ from leadlens.llm.decontaminate import words_of
 from leadlens.llm.lexicon_automaton import LexiconAutomaton
 from leadlens.llm.tables import Scratch
 
-SAMPLE_ROWS = 100_000
+SAMPLE_ROWS = 30_000
 TERMS = 20_000
 NEIGHBOURS = 100_000       # clean words near a term, most frequent first
 STEMS = (4, 5, 6)
@@ -121,7 +121,8 @@ def features(text: str, find) -> tuple[float, float, float]:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """text and toxic of the rows to learn from."""
+    """text and toxic of the rows to learn from. The sampled ids are sent to
+    the texts: SAMPLE_ROWS ids of a few bytes, whatever the size of the tables."""
     known = (labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
              .where(F.col("toxic").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
              .groupBy("id").agg(F.max("toxic").alias("toxic")))
@@ -129,7 +130,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) ->
     if count > SAMPLE_ROWS:
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < 1_000_000 * SAMPLE_ROWS // count)
     return (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .where(~held_out(F.col("id"))).join(known, "id").select("id", "text", "toxic"))
+            .where(~held_out(F.col("id"))).join(F.broadcast(known), "id").select("id", "text", "toxic"))
 
 
 def _forms(words: set[bytes]) -> set[str]:
