@@ -30,7 +30,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -71,7 +70,7 @@ class Model:
     terms: list[str]
     stems: list[str]
     clean: frozenset        # words near a term that clean texts use
-    weights: tuple[float, ...] = ()      # bias, mass, distinct terms, length
+    weights: tuple[float, ...] = ()      # bias, mass, distinct terms, density
 
     def matcher(self):
         """word (bytes) -> (edits, term) or None, remembered for words seen."""
@@ -105,7 +104,8 @@ def _quoted(text: str, start: int, end: int) -> bool:
 
 
 def features(text: str, find) -> tuple[float, float, float]:
-    """Summed weights of the hits, weights of distinct terms, words."""
+    """Logarithms of summed weights of the hits, of distinct terms, and of hits
+    per hundred words. All are zero without a hit, however long the text."""
     words = words_of(text)
     hits = {w: h for w in set(words) if (h := find(w))}
     mass, best = 0.0, {}
@@ -117,7 +117,7 @@ def features(text: str, find) -> tuple[float, float, float]:
                 weight = EDIT_WEIGHT[hit[0]] * (QUOTED_WEIGHT if _quoted(lowered, m.start(), m.end()) else 1.0)
                 mass += weight
                 best[hit[1]] = max(best.get(hit[1], 0.0), weight)
-    return math.log1p(mass), math.log1p(sum(best.values())), math.log1p(len(words))
+    return math.log1p(mass), math.log1p(sum(best.values())), math.log1p(100 * mass / max(1, len(words)))
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -191,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marks = F.bit_count("sketch").cast("double")
     contexts = F.when(marks >= 64, F.lit(266.0)).otherwise(-64.0 * F.log(1.0 - marks / 64.0))
     effective = F.least(F.col("toxic").cast("double"), F.round(contexts))
-    chance = NormalDist().inv_cdf(1 - 1 / max(counts.count(), 2)) ** 2
+    chance = 2.0 * math.log(max(counts.count(), 2))       # Chernoff: a tail below one in all words
     scored = counts.withColumn("ratio", _ratio(effective, F.col("clean"), n_toxic, n_clean))
     least = F.when(F.col("word").endswith("*"), F.lit(STEM_PURITY)).otherwise(F.lit(PURITY))
     found = [r["word"] for r in scored.where((F.col("ratio") > chance)
@@ -211,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                       .orderBy(F.desc("clean"), "word").limit(NEIGHBOURS).collect())
     model = Model(terms, stems, clean)
     cases = rows.select("toxic", _features(model)(F.col("text")).alias("f")).select("toxic", "f.*").collect()
-    x = np.array([[1.0, r["mass"], r["distinct"], r["words"]] for r in cases])
+    x = np.array([[1.0, r["mass"], r["distinct"], r["density"]] for r in cases])
     model.weights = _logistic(x, np.array([r["toxic"] > 0 for r in cases], dtype=float))
     work.drop("labelled")
     work.drop("words")
@@ -233,11 +233,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[float,
 
 
 def _features(model: Model):
-    @F.pandas_udf("mass double, distinct double, words double")
+    @F.pandas_udf("mass double, distinct double, density double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         find = model.matcher()
         for texts in batches:
-            yield pd.DataFrame([features(t, find) for t in texts], columns=["mass", "distinct", "words"])
+            yield pd.DataFrame([features(t, find) for t in texts], columns=["mass", "distinct", "density"])
     return of
 
 
@@ -247,7 +247,7 @@ def score(model: Model, text: Column) -> Column:
         return F.lit(0.0)
     bias, *rest = (F.lit(w) for w in model.weights)
     f = _features(model)(F.coalesce(text, F.lit("")))
-    linear = bias + sum((w * f[name] for w, name in zip(rest, ("mass", "distinct", "words"), strict=True)), F.lit(0.0))
+    linear = bias + sum((w * f[name] for w, name in zip(rest, ("mass", "distinct", "density"), strict=True)), F.lit(0.0))
     return 1.0 / (1.0 + F.exp(-linear))
 
 
