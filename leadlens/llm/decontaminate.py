@@ -74,11 +74,13 @@ class Windows:
         cover = np.zeros(len(stream) + 1, dtype=np.int32)
         found: dict[int, set] = {}
         if self.shortest:
-            for pos, m, owner in self._occurrences(stream):
+            for pos, which, m, owners in self._occurrences(stream):
                 np.add.at(cover, pos, 1)
                 np.add.at(cover, pos + m, -1)
-                for doc in np.unique(np.searchsorted(starts, pos, side="right") - 1).tolist():
-                    found.setdefault(doc, set()).update(owner)
+                pairs = (np.searchsorted(starts, pos, side="right") - 1) * len(owners) + which
+                for pair in np.unique(pairs).tolist():
+                    doc, k = divmod(pair, len(owners))
+                    found.setdefault(doc, set()).update(owners[k])
         hit = np.cumsum(cover[:-1]) > 0
         for k in range(len(texts)):
             spans = []
@@ -88,7 +90,8 @@ class Windows:
                 spans = list(zip(own[::2].tolist(), own[1::2].tolist(), strict=True))
             yield int(sizes[k]), spans, [x for x in found.get(k, ()) if x is not None]
 
-    def _occurrences(self, stream: np.ndarray) -> Iterator[tuple[np.ndarray, int, set]]:
+    def _occurrences(self, stream: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int, list[set]]]:
+        """For each length of windows: places of all occurrences, and which window occurs there."""
         edge = np.flatnonzero(np.diff((stream > 0).astype(np.int8), prepend=0, append=0))
         begin, end = edge[::2], edge[1::2]
         long = end - begin >= self.shortest
@@ -100,8 +103,9 @@ class Windows:
         index = FMIndex(np.append(stream, 0)[places], len(self.numbers) + 1)   # runs, each with its separator
         for m, (patterns, owners) in self.by_length.items():
             lo, hi = index.search(patterns)
-            for k in np.flatnonzero(hi > lo).tolist():
-                yield places[index.locate(np.arange(lo[k], hi[k]))], m, owners[k]
+            which = np.repeat(np.arange(len(lo)), hi - lo)
+            rows = np.arange(len(which)) - np.repeat(np.cumsum(hi - lo) - hi + lo, hi - lo) + lo[which]
+            yield places[index.locate(rows)], which, m, owners
 
 
 def _hits(items: list[tuple[str | None, str]], window: int):
