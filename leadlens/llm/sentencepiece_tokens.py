@@ -154,21 +154,25 @@ class Codec:
         return self._reference.encode(text)
 
 
+def _rows(codec: Codec, texts: list[str], verify_one_in: int) -> Iterator[tuple]:
+    """ids, whether decoding gives the text again, and whether the sentencepiece
+    library gives the same ids (none where not verified)."""
+    for text, ids in zip(texts, codec.encode(texts), strict=True):
+        checked = verify_one_in and xxhash.xxh64_intdigest(text) % verify_one_in == 0
+        yield (np.array(ids, dtype=np.int32), codec.decode(ids) == text,
+               codec.reference(text) == ids if checked else None)
+
+
 def encoded(text: Column, model: str = MODEL, verify_one_in: int = 16, threads: int = THREADS) -> Column:
-    """Struct column: ids, whether decoding gives the text again, and whether
-    the sentencepiece library gives the same ids (null where not verified)."""
+    """Struct column of ids, roundtrip and parity."""
     data = Path(model).read_bytes()
 
     @F.pandas_udf("ids array<int>, roundtrip boolean, parity boolean")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = Codec(data, threads)
         for texts in batches:
-            rows = []
-            for text, ids in zip(texts, codec.encode(texts.tolist()), strict=True):
-                checked = verify_one_in and xxhash.xxh64_intdigest(text) % verify_one_in == 0
-                rows.append((np.array(ids, dtype=np.int32), codec.decode(ids) == text,
-                             codec.reference(text) == ids if checked else None))
-            yield pd.DataFrame(rows, columns=["ids", "roundtrip", "parity"])
+            yield pd.DataFrame(list(_rows(codec, texts.tolist(), verify_one_in)),
+                               columns=["ids", "roundtrip", "parity"])
     return encode(F.coalesce(text, F.lit("")))
 
 
@@ -185,8 +189,21 @@ def decoded(ids: Column, model: str = MODEL) -> Column:
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL,
-           verify_one_in: int = 16) -> DataFrame:
+           verify_one_in: int = 16, threads: int = THREADS) -> DataFrame:
     """id, n_tokens, ids, roundtrip, parity of every row."""
-    return (narrowed(docs, id_col, text_col)
-            .select(F.col("__id").alias("id"), encoded(F.col("__text"), model, verify_one_in).alias("e"))
-            .select("id", F.size("e.ids").cast("long").alias("n_tokens"), "e.*"))
+    data = Path(model).read_bytes()
+    rows = narrowed(docs, id_col, text_col)
+    kind = rows.schema["__id"].dataType
+    rows = rows.withColumn("__id", F.col("__id").cast("string"))     # pandas has no nullable integers here
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codec = Codec(data, threads)
+        for pdf in batches:
+            sizes = pdf["__text"].str.len().cumsum() // CALL_BYTES
+            for _, part in pdf.groupby(sizes.to_numpy(), sort=False):     # results leave call by call
+                done = list(_rows(codec, part["__text"].tolist(), verify_one_in))
+                yield pd.DataFrame({"id": part["__id"].array, "n_tokens": [len(r[0]) for r in done],
+                                    "ids": [r[0] for r in done], "roundtrip": [r[1] for r in done],
+                                    "parity": pd.array([r[2] for r in done], dtype="boolean")})
+    done = rows.mapInPandas(encode, "id string, n_tokens long, ids array<int>, roundtrip boolean, parity boolean")
+    return done.withColumn("id", F.col("id").cast(kind))
