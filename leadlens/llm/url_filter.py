@@ -2,7 +2,7 @@
 
 Concatenated host names are split into words by a unigram Viterbi search, and a
 multinomial naive Bayes model over the words of host and path tells wanted
-from unwanted pages. Word counts come from all page titles, paths and domains; the
+from unwanted pages. Word counts come from all page titles, paths and top-level domains; the
 dictionary keeps the ``DICTIONARY`` most frequent words. The naive Bayes model
 has no labelled rows, so it learns from urls whose words hold one of the
 ``SEEDS`` (block) or none of them (allow), and then scores every url by all its
@@ -116,8 +116,8 @@ class Model:
 def dictionary(pages: DataFrame) -> dict[str, int]:
     titles = F.regexp_extract(F.coalesce("html", F.lit("")), "(?i)<title>([^<]*)", 1)
     url = F.coalesce("url", F.lit(""))
-    # the parts of urls that are written as single words; the names before them are to be split
-    domain = F.regexp_extract(host_of(url), r"([^.]+\.[^.]+)$", 1)
+    # the parts of urls that are single words; the names before the last dot are to be split
+    domain = F.regexp_extract(host_of(url), r"\.([^.]+)$", 1)
     text = F.concat_ws(" ", titles, domain, path_of(url))
     words = (pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{2,24}"), 0)).alias("word"))
              .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
