@@ -8,7 +8,7 @@ cell-wise Python. Here every decision comes from Spark aggregates:
   plans with a partial ``WindowGroupLimit`` before the exchange);
 * ``column_stats`` counts, in a single aggregate pass, how many non-NULL
   cells each column has and how many of them parse as numbers, raw and
-  after dropping '$' and ','.
+  after dropping '$' and ','; values are ranked only for columns left open.
 
 Only these per-column statistics (a few rows per column) reach the driver;
 the data itself is converted by built-in column expressions.
@@ -68,37 +68,25 @@ def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def column_stats(df: DataFrame, columns: list[str] | None = None) -> dict[str, ColumnStats]:
-    """Per-column statistics from a single pass over the data.
+    """Per-column statistics.
 
-    The data is reduced once to distinct (column, value) counts; cell
-    totals, parse counts (the number pattern is tested once per distinct
-    value, not per cell) and the two most frequent values all come from
-    that reduced table, which is kept for the two small follow-up jobs.
+    Cell totals and parse counts of all text columns come from one aggregate
+    without a shuffle of cells. The two most frequent values are only needed
+    for columns that don't parse as numbers; their values alone are counted
+    by a grouped sum.
     """
     cols = [c for c in (columns or df.columns)
             if isinstance(df.schema[c].dataType, Ty.StringType)]
     if not cols:
         return {}
-    counts = value_counts(df, cols).persist()
-    try:
-        v, n = F.col("value"), F.col("cnt")
-        agg = counts.groupBy("column_name").agg(
-            F.sum(n).alias("n"),
-            F.sum(F.when(_is_number(v), n).otherwise(0)).alias("num"),
-            F.sum(F.when(_is_number(F.translate(v, MONEY_DROP, "")), n).otherwise(0)).alias("mon"))
-        stats = {r["column_name"]: r for r in agg.collect()}
-        w = Window.partitionBy("column_name").orderBy(n.desc(), v.asc())
-        tops: dict[str, list] = {c: [] for c in cols}
-        for r in (counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 2)
-                        .orderBy("column_name", "rank").collect()):
-            tops[r["column_name"]].append(r["value"])
-    finally:
-        counts.unpersist()
-    out = {}
-    for c in cols:
-        r = stats.get(c)
-        out[c] = ColumnStats(r["n"] if r else 0, r["num"] if r else 0,
-                             r["mon"] if r else 0, tops[c])
+    row = df.agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(F.col(c)).alias(f"n{i}"), F.count_if(_is_number(F.col(c))).alias(f"num{i}"),
+        F.count_if(_is_number(F.translate(F.col(c), MONEY_DROP, ""))).alias(f"mon{i}"))]).first()
+    out = {c: ColumnStats(row[f"n{i}"], row[f"num{i}"], row[f"mon{i}"], []) for i, c in enumerate(cols)}
+    unsure = [c for c, x in out.items() if x.non_null and x.numeric < x.non_null]
+    if unsure:
+        for r in top_values(df, 2, unsure).orderBy("column_name", "rank").collect():
+            out[r["column_name"]].top.append(r["value"])
     return out
 
 
@@ -166,9 +154,9 @@ def date_plan(df: DataFrame, stats: dict[str, ColumnStats]) -> list[str]:
 
 
 def parse_date_cell(x: Column) -> Column:
-    """First blank-separated token as M/d/yyyy; '' gives 1900-01-01; else NULL."""
+    """First blank-separated token as M/d/yyyy; an empty token gives 1900-01-01; else NULL."""
     tok = F.split_part(x, F.lit(" "), F.lit(1))
-    return F.when(x == F.lit(""), F.lit(DATE_DEFAULT).cast("date")) \
+    return F.when(tok == F.lit(""), F.lit(DATE_DEFAULT).cast("date")) \
             .otherwise(F.try_to_date(tok, DATE_FORMAT))
 
 

@@ -2,8 +2,7 @@
 
 The reference writes these as long ``CASE ... WHEN x IN (...)`` chains. The
 mapping is a parameter here: a list of (label, codes) in priority order,
-turned into a small lookup frame and joined. Its size is the size of the
-mapping the caller passes (known on the driver), so broadcasting it is safe.
+turned into a lookup frame and joined.
 """
 
 from __future__ import annotations
@@ -32,10 +31,8 @@ def map_codes(df: DataFrame, code: str, mapping: Sequence[tuple[str, Sequence[st
 
     ``fallback`` is used when no entry lists the code (NULL codes included).
     """
-    n_codes = sum(len(c) for _, c in mapping)
+    # Spark knows the size of this small table and picks the join by it.
     lut = code_table(df.sparkSession, mapping, "_code", "_label")
-    # Bounded by the mapping itself (n_codes rows), never by the data.
-    lut = F.broadcast(lut) if n_codes <= 100_000 else lut
     j = df.join(lut, df[code] == lut["_code"], "left")
     lab = F.col("_label") if fallback is None else F.coalesce(F.col("_label"), fallback)
     return j.withColumn(out, lab).drop("_code", "_label")

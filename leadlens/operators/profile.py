@@ -99,34 +99,28 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def distinct_profile(df: DataFrame, keys: Sequence[str], value: Column | str, *,
-                     count_as: str | None = None, list_as: str | None = None,
-                     sep: str = ",") -> DataFrame:
-    """AG6/AG7 from distinct (key, value) pairs.
-
-    ``count(distinct v)`` and ``string_agg(distinct v)`` are computed from a
-    map-side-combined distinct of (keys, v) instead of Catalyst's Expand of
-    every row per distinct aggregate; join the result back with
-    ``join_null_safe`` and read a missing count as 0.
-    """
-    v = F.col(value) if isinstance(value, str) else value
-    pairs = df.select(*keys, v.cast("string").alias("_v")).filter(F.col("_v").isNotNull()) \
-              .distinct()
-    aggs = []
-    if count_as:
-        aggs.append(F.count(F.lit(1)).alias(count_as))
-    if list_as:
-        aggs.append(F.array_join(F.array_sort(F.collect_list("_v")), sep).alias(list_as))
-    return pairs.groupBy(*keys).agg(*aggs)
-
-
-def with_distinct(main: DataFrame, df: DataFrame, keys: Sequence[str],
+def with_distinct(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
                   specs: Sequence[dict]) -> DataFrame:
-    """Attach several ``distinct_profile`` results to a per-key aggregate."""
-    out = main
-    for spec in specs:
-        prof = distinct_profile(df, keys, **spec)
-        out = join_null_safe(out, prof, keys)
-        if spec.get("count_as"):
-            out = out.withColumn(spec["count_as"], F.coalesce(F.col(spec["count_as"]), F.lit(0)))
-    return out
+    """Aggregates plus ``count(distinct v)`` and sorted distinct lists per key
+    (AG6/AG7), in one grouping.
+
+    Each spec names a ``value`` and ``count_as`` and/or ``list_as``. The
+    distinct values of a group are held as a set, combined on the map side,
+    so a group must be bounded by its domain (the units one person saw).
+    """
+    sets = [F.collect_set(F.col(x["value"]) if isinstance(x["value"], str) else x["value"]).alias(f"_set{i}")
+            for i, x in enumerate(specs)]
+    out = df.groupBy(*keys).agg(*aggs, *sets)
+    for i, x in enumerate(specs):
+        found = F.col(f"_set{i}")
+        if x.get("count_as"):
+            out = out.withColumn(x["count_as"], F.size(found).cast("long"))
+        if x.get("list_as"):
+            text = F.array_sort(F.transform(found, lambda v: v.cast("string")))
+            out = out.withColumn(x["list_as"], F.when(F.size(found) > 0, F.array_join(text, ",")))
+    return out.drop(*[f"_set{i}" for i in range(len(specs))])
+
+
+def approx_distinct(x: Column | str, error: float = 0.02) -> Column:
+    """AG6 for very large domains: a HyperLogLog++ estimate with a stated relative error."""
+    return F.approx_count_distinct(x, error)

@@ -88,7 +88,7 @@ def _lease_match(x: DataFrame, leases: DataFrame, *, secondary: bool, how: str,
     created = "secondary_created" if secondary else "created"
     return containment_join(
         x, leases, on=[(names[0], "contact_first"), (names[1], "contact_last")],
-        left_id=None, right_id=None, left_phones=phones,
+        left_id=None, right_id="lease_id" if "lease_id" in leases.columns else None, left_phones=phones,
         right_phones=["mobile_phone", "home_phone", "work_phone"],
         left_combined=phones[0], right_combined="combined_phone",
         how=how, direction="l_in_r",

@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from leadlens.plans.synthetic import LEASE_SHIFT_DAYS, people, report_items, table
 
-UNIT_MOD = 200       # units exist for part keys 0..199 at every scale factor
-BUILDING_MOD = 10    # buildings exist for supplier keys 0..9 at every scale factor
+# parts, suppliers and events stay in these proportions at every scale factor
+EVENTS_PER_UNIT = 5
+UNITS_PER_BUILDING = 20
 
 
 def _shift(c, days: int = LEASE_SHIFT_DAYS):
@@ -44,9 +45,9 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "created_at")
 
     ok, pri = F.col("o_orderkey"), F.col("o_orderpriority")
-    promo_type = (F.when((pri == "1-URGENT") & (ok % 5 == 0), F.lit("master lead"))
+    promo_type = (F.when(pri == "1-URGENT", F.lit("master lead"))
                    .when(pri == "2-HIGH", F.lit("marketing"))
-                   .when((pri == "5-LOW") & (ok % 5 == 1), F.lit("lead_source")))
+                   .when(pri == "5-LOW", F.lit("lead_source")))
     pr = o.select(ok.alias("id"), F.col("o_custkey").alias("customer_id"),
                   F.concat(F.lit("P"), F.col("o_orderstatus"), (ok % 7).cast("string")).alias("name"),
                   promo_type.alias("promo_type")).filter(F.col("promo_type").isNotNull())
@@ -54,14 +55,14 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     customers_promos = pr.select("customer_id", F.col("id").alias("promo_id"))
 
     prospects = p.select(
-        k.alias("id"), k.alias("customer_id"), (k % UNIT_MOD).alias("desired_unit"),
+        k.alias("id"), k.alias("customer_id"), k.alias("desired_unit"),
         F.when(k % 5 == 0, F.lit("{}")).otherwise(F.lit("[]")).alias("desired_history"),
-        F.concat(F.lit("U"), (k % 50).cast("string")).alias("unit_name"),
-        F.concat(F.lit("B"), (k % 13).cast("string")).alias("building_name"),
+        F.concat(F.lit("U"), F.floor(k / 3).cast("string")).alias("unit_name"),
+        F.concat(F.lit("B"), F.floor(k / 15).cast("string")).alias("building_name"),
         (k % 4).alias("desired_beds"), F.timestamp_add("DAY", F.lit(1), F.col("created_at")).alias("updated_at"),
         F.when(k % 6 == 0, F.lit("S8")).alias("subsidy_type"))
     older = p.filter(k % 3 == 0).select(
-        (k + 1_000_000_000).alias("id"), k.alias("customer_id"), (k % UNIT_MOD).alias("desired_unit"),
+        (k + 1_000_000_000).alias("id"), k.alias("customer_id"), k.alias("desired_unit"),
         F.lit(None).cast("string").alias("desired_history"), F.lit("U0").alias("unit_name"),
         F.lit("B0").alias("building_name"), F.lit(1).cast("long").alias("desired_beds"),
         F.col("created_at").alias("updated_at"), F.lit(None).cast("string").alias("subsidy_type"))
@@ -133,7 +134,7 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.to_date("date").alias("date"), "created_at")
 
     part = table(spark, sf_dir, "part")
-    units = part.select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % BUILDING_MOD).alias("building_id"),
+    units = part.select(F.col("p_partkey").alias("id"), F.floor(F.col("p_partkey") / UNITS_PER_BUILDING).alias("building_id"),
                         F.concat(F.col("p_name"), F.lit("#"), F.col("p_partkey").cast("string")).alias("name"),
                         F.col("p_retailprice").alias("target_rent"))
     buildings = table(spark, sf_dir, "supplier").select(
@@ -141,7 +142,7 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     ek, et = F.col("event_id"), F.col("event_type")
     showings = e.filter(et == "view").select(
-        ek.alias("id"), F.col("user_id").alias("prospect_id"), (ek % UNIT_MOD).alias("unit_id"),
+        ek.alias("id"), F.col("user_id").alias("prospect_id"), F.floor(ek / EVENTS_PER_UNIT).alias("unit_id"),
         F.col("ts").alias("start_time"),
         F.timestamp_add("HOUR", -(ek % 72).cast("int"), F.col("ts")).alias("created_at"),
         F.when(ek % 5 == 0, F.lit("cancelled")).when(ek % 5 == 1, F.lit("rescheduled"))
@@ -154,7 +155,7 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(ek % 4 == 0, F.lit("updated")).otherwise(F.lit("created_showing")).alias("action"),
         F.concat(F.lit("u"), (ek % 13).cast("string")).alias("user"))
     lease_signings = e.filter(et == "signup").select(
-        ek.alias("id"), F.col("user_id").alias("prospect_id"), (ek % UNIT_MOD).alias("unit_id"),
+        ek.alias("id"), F.col("user_id").alias("prospect_id"), F.floor(ek / EVENTS_PER_UNIT).alias("unit_id"),
         F.when(ek % 3 == 0, F.lit("cancelled")).otherwise(F.lit("lease_signing_set")).alias("showable_state"),
         F.col("ts").alias("start_time"), F.timestamp_add("DAY", F.lit(-1), F.col("ts")).alias("created_at"))
 

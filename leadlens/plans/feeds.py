@@ -16,10 +16,17 @@ def cleaned_feed(spark: SparkSession, path: str, *, partitions: int | None = Non
 
 
 def refresh(spark: SparkSession, path: str, *, table: str | None = None,
-            out_path: str | None = None, rejects_path: str | None = None) -> DataFrame:
-    """Full refresh of one feed table (buildings, leases or units)."""
-    df, rejects = cleaned_feed(spark, path)
+            out_path: str | None = None, rejects_path: str,
+            partitions: int | None = None) -> DataFrame:
+    """Full refresh of one feed table (buildings, leases or units).
+
+    Cells that are no dates in a date column keep their text in the table at
+    ``rejects_path``. A report is one document, read by one task; its records
+    are dealt out over ``partitions`` (Spark's shuffle partitions by default)
+    before they are cleaned."""
+    spread = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df, rejects = cleaned_feed(spark, path, partitions=spread)
     write_table(df, table, path=out_path)
-    if rejects is not None and rejects_path:
+    if rejects is not None:
         write_table(rejects, path=rejects_path)
     return df

@@ -117,8 +117,8 @@ def showing_profile(t: Tables, cc: DataFrame, as_of: str | None = None,
     """Counts by state, before/after application, units and setters per identity.
 
     Counts run over showings joined with applicants and activities (fan-out
-    parity, AG14). Rows of showings without a clean customer form one group
-    with NULL identity, which never matches later.
+    parity, AG14). Showings without a clean customer would form one group with
+    a NULL identity, which matches nothing; they are left out before grouping.
     """
     today = D.as_of(as_of)
     sh = t["showings"]
@@ -132,12 +132,12 @@ def showing_profile(t: Tables, cc: DataFrame, as_of: str | None = None,
                          .select(F.col("record_id").alias("showing_id"), F.col("user").alias("set_by"))
     j = (sh.select(F.col("id").alias("showing_id"), "prospect_id", "unit_id", "showable_state",
                    "start_time", "created_at", "name")
-           .join(pr, "prospect_id", "left").join(ident, "customer_id", "left")
+           .join(pr, "prospect_id").join(ident, "customer_id")
            .join(app, "prospect_id", "left").join(units, "unit_id", "left")
            .join(act, "showing_id", "left"))
     st, start, created = F.col("showable_state"), F.col("start_time"), F.col("created_at")
     keys = [*NAMES, *phones, "combined"]
-    main = j.groupBy(*keys).agg(
+    return P.with_distinct(j, keys, [
         F.count(F.lit(1)).alias("total_showing"),
         P.count_when((st == "showing_set") & (start < today)).alias("showing_shown"),
         *P.state_counts(st, {"showing_cancelled": "cancelled",
@@ -150,8 +150,8 @@ def showing_profile(t: Tables, cc: DataFrame, as_of: str | None = None,
         F.min("showing_id").alias("first_showing_id"),
         F.max(created).alias("last_showing_created"),
         P.ordered_list(F.when(st == "showing_set", F.col("name")),
-                       ["start_time", "showing_id"]).alias("leasing_agents_shown_list"))
-    return P.with_distinct(main, j, keys, [
+                       ["start_time", "showing_id"]).alias("leasing_agents_shown_list"),
+    ], [
         {"value": "unit_id", "count_as": "units_visited_count"},
         {"value": "unit_name", "list_as": "units_visited_list"},
         {"value": "set_by", "count_as": "showing_set_by_count", "list_as": "showing_set_by_list"}])
@@ -198,7 +198,7 @@ def latest_reports(t: Tables, report_type: str) -> DataFrame:
         & (F.col("subscriber_type") == "Applicant")).select("third_party_id", "subscriber_id")
     r = t["lexis_nexis_reports"].filter((F.col("status") == "complete")
                                         & (F.col("report_type") == report_type))
-    return r.join(sub, r["id"] == sub["third_party_id"], "left").groupBy("subscriber_id").agg(
+    return r.join(sub, r["id"] == sub["third_party_id"], "inner").groupBy("subscriber_id").agg(
         F.max("id").alias("report_id"), F.max("subscriber_id").alias("subscriber"),
         F.max("created_at").alias("report_created_at"),
         F.max("updated_at").alias("report_updated_at"))
@@ -330,7 +330,8 @@ def prospect_master(t: Tables, *, as_of: str | None = None, stripped: bool = Fal
     phones = CLEAN_PHONES if stripped else RAW_PHONES
     sc = showing_profile(t, cc_all, as_of, phones)
     spec = dict(on=NAMES, left_phones=phones, left_combined="combined")
-    matches = M.identity_matches(cc, sc, **spec, right_id=None, right_phones=phones,
+    sc = sc.withColumn("_group", M.identity_key(**spec))     # unique: the profile is grouped by it
+    matches = M.identity_matches(cc, sc, **spec, right_id="_group", right_phones=phones,
                                  right_combined="combined", how="inner",
                                  blocked=blocked, right_prefix="sc_")
     x = x.withColumn("_lk", M.identity_key(**spec)).join(matches, "_lk", "left").drop("_lk")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,18 +40,12 @@ def build_session(master: str | None = None, app: str = "leadlens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (local
-    tests) is a private temporary folder chosen.
+    The setting is required in every mode: intermediate tables never go to a
+    folder of the library's own choosing.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        d = tempfile.mkdtemp(prefix="leadlens-ckpt-")   # local mode (tests) only
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return d
 
 
@@ -69,15 +62,3 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/leadlens-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an under-partitioned input before CPU-heavy per-row work.
-
-    When a scan yields fewer partitions than the cluster's default
-    parallelism (a small file, a single row group), one task would do all
-    the text work; a round-robin repartition spreads it. Large inputs
-    already have enough splits and pass through without a shuffle.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -20,8 +20,8 @@ def write_table(df: DataFrame, name: str | None = None, *, path: str | None = No
                 partition_by: list[str] | None = None) -> None:
     """SNK1/SNK3: full refresh of a typed table (catalog table or path).
 
-    The write commits atomically through Spark's output committer, so no
-    half-built table is visible, and an absent table is simply created.
+    An absent table is created. Overwriting a path or a table removes the old
+    data first: a job that fails halfway leaves it empty, and a rerun fills it.
     """
     w = df.write.mode(mode).format(fmt)
     if partition_by:
@@ -65,24 +65,21 @@ def write_report(frames: Mapping[str, DataFrame], root: str, *, fmt: str = "csv"
 
 
 def sql_types(df: DataFrame) -> dict[str, str]:
-    """SNK6: warehouse column types from the inferred schema."""
-    m = {}
+    """SNK6: warehouse column types from the inferred schema, at full width."""
+    names = {Ty.DateType: "date", Ty.TimestampType: "timestamp", Ty.TimestampNTZType: "timestamp",
+             Ty.BooleanType: "boolean", Ty.ByteType: "integer", Ty.ShortType: "integer",
+             Ty.IntegerType: "integer", Ty.LongType: "bigint", Ty.FloatType: "double", Ty.DoubleType: "double"}
+    out = {}
     for f in df.schema.fields:
         t = f.dataType
-        if isinstance(t, Ty.DateType):
-            m[f.name.lower()] = "date"
-        elif isinstance(t, (Ty.IntegerType, Ty.LongType, Ty.ShortType)):
-            m[f.name.lower()] = "integer"
-        elif isinstance(t, (Ty.DoubleType, Ty.FloatType, Ty.DecimalType)):
-            m[f.name.lower()] = "numeric"
-        else:
-            m[f.name.lower()] = "text"
-    return m
+        out[f.name.lower()] = (f"decimal({t.precision},{t.scale})" if isinstance(t, Ty.DecimalType)
+                               else names.get(type(t), "string"))
+    return out
 
 
 def jdbc_column_types(df: DataFrame) -> str:
     """``createTableColumnTypes`` option text for a JDBC full refresh."""
-    return ", ".join(f"{c} {t.upper()}" for c, t in sql_types(df).items())
+    return ", ".join(f"`{c}` {t.upper()}" for c, t in sql_types(df).items())
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, *, properties: Mapping[str, str] | None = None,

@@ -1,17 +1,16 @@
-"""Feed source, cleaning/inference, sinks and the streaming refresh."""
+"""Feed source, cleaning/inference and sinks."""
 
 import datetime as dt
 import json
 import os
-import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from leadlens.operators import infer as I
 from leadlens.plans.feeds import cleaned_feed, refresh
 from leadlens.sinks import writers as W
 from leadlens.sources.report import read_report, sanitize_columns
-from leadlens.streaming.feeds import refresh_stream
 
 
 def write_doc(folder, name, columns, records, raw_suffix=""):
@@ -74,7 +73,8 @@ def test_refresh_writes_typed_table(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     write_doc(src, "a.json", FEED_COLUMNS, FEED_RECORDS)
     out = os.path.join(tmp_dir, "out")
-    refresh(spark, src, out_path=out)
+    refresh(spark, src, out_path=out, rejects_path=os.path.join(tmp_dir, "rejects"))
+    assert [r.value for r in spark.read.parquet(os.path.join(tmp_dir, "rejects")).collect()] == ["13/45/2014"]
     back = spark.read.parquet(out)
     assert back.count() == 5 and dict(back.dtypes)["amount"] == "double"
     assert W.sql_types(back)["createdtime"] == "date"
@@ -111,16 +111,7 @@ def test_text_contract_and_delimited(spark, tmp_dir):
     assert spark.read.option("header", True).csv(paths["b"]).count() == 1
 
 
-def test_streaming_refresh(spark, tmp_dir):
-    landing, out = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "table")
-    write_doc(landing, "r1.json", FEED_COLUMNS, FEED_RECORDS[:2])
-    q = refresh_stream(spark, landing, out, name="t1",
-                       checkpoint=os.path.join(tmp_dir, "ckpt"))
-    q.awaitTermination(120)
-    assert spark.read.parquet(out).count() == 2
-    time.sleep(1.1)
-    write_doc(landing, "r2.json", FEED_COLUMNS, FEED_RECORDS)
-    q = refresh_stream(spark, landing, out, name="t1",
-                       checkpoint=os.path.join(tmp_dir, "ckpt"))
-    q.awaitTermination(120)
-    assert spark.read.parquet(out).count() == 5   # newest report replaces the table
+def test_a_leading_blank_is_an_empty_date(spark):
+    cells = [(" 1/2/2013",), ("",), ("1/2/2013 10:30",), ("x",), (None,)]
+    got = spark.createDataFrame(cells, "v string").select(I.parse_date_cell(F.col("v")).alias("d")).collect()
+    assert [r.d for r in got] == [dt.date(1900, 1, 1), dt.date(1900, 1, 1), dt.date(2013, 1, 2), None, None]

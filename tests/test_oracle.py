@@ -28,7 +28,8 @@ NO_ORACLE = {"q_prospect_master"}
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
+    own = {q for q in E.queries() if q.startswith("q_")}
+    assert own - set(E.oracle_sql()) == NO_ORACLE
 
 
 @pytest.mark.parametrize("name", sorted(NO_ORACLE | {"q_showing_attribution"}))
@@ -39,7 +40,7 @@ def test_composite_plans_run(spark, name):
         assert len(df.columns) == 132
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(q for q in E.oracle_sql() if q.startswith("q_")))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     sc, sr = rows_of(df.columns, [tuple(r) for r in df.collect()])

@@ -22,4 +22,8 @@ def test_catalog_full_refresh_and_self_read(spark):
     write_table(df.filter("id = 1"), "feed_refresh_t")    # full refresh replaces
     back = load_tables(spark, "", ["feed_refresh_t"], fmt="table")["feed_refresh_t"]
     assert [tuple(r) for r in back.collect()] == [(1, "a", 2.5)]
-    assert jdbc_column_types(back) == "id INTEGER, name TEXT, amt NUMERIC"
+    wide = spark.sql("SELECT 1L AS id, 'a' AS name, 2.5D AS amt, CAST(1 AS DECIMAL(12,2)) AS cents, "
+                     "DATE '2014-01-01' AS d, TIMESTAMP '2014-01-01 00:00:00' AS ts, true AS ok, 1 AS n")
+    from pyspark.sql.types import StructType
+    parsed = StructType.fromDDL(jdbc_column_types(wide))
+    assert [(f.name, f.dataType) for f in parsed] == [(f.name, f.dataType) for f in wide.schema]
