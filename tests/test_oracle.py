@@ -22,22 +22,14 @@ def duck():
     return con
 
 
-# Composite plans over derived operational tables: checked value by value on
-# hand fixtures (tests/test_plans.py) instead of by an oracle.
-NO_ORACLE = {"q_prospect_master"}
-
-
 def test_every_query_has_an_oracle():
     own = {q for q in E.queries() if q.startswith("q_")}
-    assert own - set(E.oracle_sql()) == NO_ORACLE
+    assert own == {q for q in E.oracle_sql() if q.startswith("q_")}
 
 
-@pytest.mark.parametrize("name", sorted(NO_ORACLE | {"q_showing_attribution"}))
-def test_composite_plans_run(spark, name):
-    df = E.queries()[name](spark, SF)
-    assert df.count() > 0
-    if name == "q_prospect_master":
-        assert len(df.columns) == 132
+def test_the_master_has_its_132_columns(spark):
+    df = E.queries()["q_prospect_master"](spark, SF)
+    assert df.count() > 0 and len(df.columns) == 132
 
 
 @pytest.mark.parametrize("name", sorted(q for q in E.oracle_sql() if q.startswith("q_")))
