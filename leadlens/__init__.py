@@ -7,7 +7,6 @@ Sub-packages:
   sources    table loading, JSON report feeds, column-name sanitising
   sinks      table / delimited / report writers
   plans      composite funnel plans and the queries over the driver tables
-  streaming  incremental feed refresh over a landing folder
 """
 
 __version__ = "0.1.0"
