@@ -113,8 +113,9 @@ def customers_clean(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def showing_profile(t: Tables, cc: DataFrame, as_of: str | None = None,
-                    phones: list[str] = RAW_PHONES) -> DataFrame:
+                    phones: list[str] = RAW_PHONES, exact: bool = False) -> DataFrame:
     """Counts by state, before/after application, units and setters per identity.
+    ``exact`` counts each showing once instead of once per joined row.
 
     Counts run over showings joined with applicants and activities (fan-out
     parity, AG14). Showings without a clean customer would form one group with
@@ -137,14 +138,16 @@ def showing_profile(t: Tables, cc: DataFrame, as_of: str | None = None,
            .join(act, "showing_id", "left"))
     st, start, created = F.col("showable_state"), F.col("start_time"), F.col("created_at")
     keys = [*NAMES, *phones, "combined"]
+    def count(p: Column) -> Column:
+        return F.count_distinct(F.when(p, F.col("showing_id"))) if exact else P.count_when(p)
+
     return P.with_distinct(j, keys, [
-        F.count(F.lit(1)).alias("total_showing"),
-        P.count_when((st == "showing_set") & (start < today)).alias("showing_shown"),
-        *P.state_counts(st, {"showing_cancelled": "cancelled",
-                             "showing_rescheduled": "rescheduled", "showing_missed": "missed"}),
-        P.count_when((st == "showing_set") & (start > today)).alias("showing_pending"),
-        P.count_when(created < F.col("app_created_at")).alias("showings_before_app"),
-        P.count_when(created > F.col("app_created_at")).alias("showings_after_app"),
+        count(F.lit(True)).alias("total_showing"),
+        count((st == "showing_set") & (start < today)).alias("showing_shown"),
+        *[count(st == x).alias(f"showing_{x}") for x in ("cancelled", "rescheduled", "missed")],
+        count((st == "showing_set") & (start > today)).alias("showing_pending"),
+        count(created < F.col("app_created_at")).alias("showings_before_app"),
+        count(created > F.col("app_created_at")).alias("showings_after_app"),
         F.avg(D.seconds_between(start, created)).alias("avg_days_out_scheduled"),
         F.min(created).alias("first_showing_created"),
         F.min("showing_id").alias("first_showing_id"),
@@ -291,10 +294,13 @@ def _opt(df: DataFrame, c: str, typ: str = "string") -> Column:
 
 
 def prospect_master(t: Tables, *, as_of: str | None = None, stripped: bool = False,
-                    pii: str = "keep", blocked: bool = True,
-                    checkpoint: bool = True) -> DataFrame:
+                    pii: str = "keep", blocked: bool = True, checkpoint: bool = True,
+                    exact: bool = False, coalesce_fee: bool = False) -> DataFrame:
     """PIPE6: one wide row per clean customer (x lead-attribution rows).
 
+    ``exact`` counts showings once (AG14); ``coalesce_fee`` gives the legacy
+    move-in fee where there is one instead of null (SC12).
+
     Customers listed as occupants are removed first (explicit anti join).
     ``customers_clean`` feeds the master, the showing profile and the
     showing match; it is materialised once in the shared checkpoint folder
@@ -328,7 +334,7 @@ def prospect_master(t: Tables, *, as_of: str | None = None, stripped: bool = Fal
     # reference's CTE does; matches are computed per distinct identity and
     # joined into the wide frame by identity key.
     phones = CLEAN_PHONES if stripped else RAW_PHONES
-    sc = showing_profile(t, cc_all, as_of, phones)
+    sc = showing_profile(t, cc_all, as_of, phones, exact)
     spec = dict(on=NAMES, left_phones=phones, left_combined="combined")
     sc = sc.withColumn("_group", M.identity_key(**spec))     # unique: the profile is grouped by it
     matches = M.identity_matches(cc, sc, **spec, right_id="_group", right_phones=phones,
@@ -364,10 +370,10 @@ def prospect_master(t: Tables, *, as_of: str | None = None, stripped: bool = Fal
          .join(clv, "clv_report_id", "left")
     x = x.join(record_profile(t), "applicant_id", "left")
     x = x.join(signing_profile(t, as_of), "prospect_id", "left")
-    return _master_columns(x, a, pii)
+    return _master_columns(x, a, pii, coalesce_fee)
 
 
-def _master_columns(x: DataFrame, a: DataFrame, pii: str) -> DataFrame:
+def _master_columns(x: DataFrame, a: DataFrame, pii: str, coalesce_fee: bool = False) -> DataFrame:
     ad = F.col("approval_details")
     permanent = F.col("a_has_permanent_subsidy") if "a_has_permanent_subsidy" in a.columns \
         else F.lit(None).cast("boolean")
@@ -439,7 +445,8 @@ def _master_columns(x: DataFrame, a: DataFrame, pii: str) -> DataFrame:
         ad["score"].alias("score"), "application_id",
         F.coalesce("lp_tier", ad["tier"]).alias("tier"),
         F.coalesce("lp_amount", ad["amount"]).alias("max_rent"),
-        F.when(F.col("lp_move_in_fee").isNull(), ad["move_in_fee"]).alias("move_in_fee"),
+        (F.coalesce("lp_move_in_fee", ad["move_in_fee"]) if coalesce_fee
+         else F.when(F.col("lp_move_in_fee").isNull(), ad["move_in_fee"])).alias("move_in_fee"),
         F.coalesce(F.col("_clv"), _a(a, "clv")).alias("clv_score"),
         *[F.col(c) for c in ("ev_count_total", "ev_count_0_1", "ev_count_1_3", "ev_count_3_5",
                              "ev_count_5_10", "ev_count_10_plus", "fel_count_total",

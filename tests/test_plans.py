@@ -149,3 +149,22 @@ def test_blocked_equals_naive_on_driver_tables(spark, plan):
         b = PR.prospect_master(t, as_of="2014-06-01", blocked=False)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_options_of_the_master(spark):
+    import os
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables missing")
+    from leadlens.plans.driver_domain import domain_tables
+    t = domain_tables(spark, sf)
+    fan = PR.showing_profile(t, PR.customers_clean(t), "2014-06-01")
+    once = PR.showing_profile(t, PR.customers_clean(t), "2014-06-01", exact=True)
+    shown = t["showings"].join(t["customers"], F.col("prospect_id") == t["customers"]["id"], "left_semi").count()
+    total = F.sum("total_showing")
+    assert once.agg(total).first()[0] == shown < fan.agg(total).first()[0]
+    plain = PR.prospect_master(t, as_of="2014-06-01")
+    filled = PR.prospect_master(t, as_of="2014-06-01", coalesce_fee=True)
+    legacy = F.col("tier") == "LT"
+    assert plain.where(legacy).agg(F.count("move_in_fee")).first()[0] == 0
+    assert {r[0] for r in filled.where(legacy).select("move_in_fee").collect()} == {99.0}
