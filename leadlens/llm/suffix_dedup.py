@@ -23,8 +23,9 @@ Scale: a unit stands for about 70 bytes and takes about 30 in the one exchange
 by gram. Units that repeat inside a batch of rows are settled there, and one
 of them goes on, so text that a third of all rows hold sends one row a batch.
 Texts are dealt out once by their key, for the comparison and the removal
-alike. A gram with more than ``HEAVY`` different units isn't compared in one
-place: its windows are hashed and counted by a grouped sum.
+alike. A gram with more than ``HEAVY`` different units isn't gathered in one
+place: its units are dealt out evenly, and their windows are hashed and counted
+by a grouped sum.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from leadlens.llm.anchors import WHOLE, units
 from leadlens.llm.tables import Scratch, narrowed
 
 PART = 8_000_000        # bytes of a text hashed at once
-PAIRWISE, HEAVY = 24, 20_000
+PAIRWISE, HEAVY = 24, 200_000      # units of a gram that are compared in pairs, in one task
 _UNITS = "done boolean, deal long, k long, u long, shape int, key long, start long, twice boolean"
 _FOUND = "kind int, k long, key long, start long, shape int"
 
@@ -203,28 +204,48 @@ def _windows(start: int, at: int, ctx: bytes, window: int):
 
 
 def _many(group: list[tuple], window: int) -> Iterator[tuple[int, int, int]]:
-    """The same by hashes of all windows of the group."""
-    rows = [_windows(start, at, ctx, window) for key, start, at, ctx, _ in group]
-    owner = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    offset, start, h = (np.concatenate(x) for x in zip(*rows, strict=True))
+    """The same for a larger group: texts are aligned on the gram, one byte
+    column after the other, and at each offset the hashes of all units' windows
+    are moved on by one byte and compared."""
+    at = np.array([g[2] for g in group])
+    size = np.array([len(g[3]) for g in group])
+    once = np.array([g[4] for g in group])
+    left, first = int(at.max()), int((at - size + window).min())
+    cells = np.zeros((len(group), left + max(int((size - at).max()), window - first)), dtype=np.uint8)
+    for i, (_, _, a, ctx, _) in enumerate(group):
+        cells[i, left - a:left - a + len(ctx)] = np.frombuffer(ctx, dtype=np.uint8)
+    cells = np.ascontiguousarray(cells.T)
+    table, base = WHOLE.table, np.uint64(WHOLE.base)
+    top = np.uint64(pow(WHOLE.base, window - 1, 1 << 64))
+    low, high = np.full(len(group), -9), np.full(len(group), -9)     # offsets of the run of repeats in progress
+    runs = []
     with np.errstate(over="ignore"):
-        h = h + offset.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    _, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
-    hit = np.flatnonzero(counts[inverse] > 1)
-    if not len(hit):
-        return
-    brk = np.flatnonzero((np.diff(owner[hit]) != 0) | (np.diff(start[hit]) != 1))
-    for a, z in zip(np.append(0, brk + 1), np.append(brk, len(hit) - 1), strict=True):
-        key, _, _, _, once = group[owner[hit[a]]]
-        if once:
-            yield key, int(start[hit[a]]), int(start[hit[z]]) + window
-
-
-_CONTEXT = "k long, key long, start long, at int, ctx binary, once boolean"
+        h = np.zeros(len(group), dtype=np.uint64)
+        for i in reversed(range(window)):
+            h = h * base + table[cells[left - first + i]]
+        for o in range(first, left + 1):
+            has = np.flatnonzero((o <= at) & (at - o + window <= size))
+            _, inverse, counts = np.unique(h[has], return_inverse=True, return_counts=True)
+            hit = has[(counts[inverse] > 1) & once[has]]
+            more = hit[high[hit] == o - 1]
+            high[more] = o
+            fresh = hit[high[hit] != o]
+            runs += [(i, low[i], high[i]) for i in fresh[high[fresh] >= 0]]
+            low[fresh] = high[fresh] = o
+            if o < left:
+                h = table[cells[left - o - 1]] + base * (h - table[cells[left - o + window - 1]] * top)
+    runs += [(i, low[i], high[i]) for i in np.flatnonzero(high >= 0)]
+    for i, lo, hi in runs:
+        key, start, a = group[i][:3]
+        yield key, int(start + a - hi), int(start + a - lo + window)
+
+
+_CONTEXT = "deal long, heavy boolean, k long, key long, start long, at int, ctx binary, once boolean"
 _SPANS = "k long, key long, start long, end long, at int, ctx binary, once boolean"
 
 
 def _resolved(window: int):
+    """Spans of units with one gram; rows of heavy grams pass through."""
     columns = ["k", "key", "start", "end", "at", "ctx", "once"]
 
     def finish(k: int, group: list[tuple]) -> list[tuple]:
@@ -234,24 +255,20 @@ def _resolved(window: int):
         return [(k, key, start, end, None, None, None) for key, start, end in spans]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, group, heavy = None, [], False
+        now, group = None, []
         for pdf in batches:
             out = []
-            for k, key, start, at, ctx, once in pdf.itertuples(index=False):
-                if k != now:
-                    out += [] if heavy else finish(now, group)
-                    now, group, heavy = k, [], False
+            for _, heavy, k, key, start, at, ctx, once in pdf.itertuples(index=False):
                 if heavy:
                     out.append((k, key, start, None, at, ctx, once))
                     continue
+                if k != now:
+                    out += finish(now, group)
+                    now, group = k, []
                 group.append((key, start, at, ctx, once))
-                if len(group) > HEAVY:      # left to the counted windows
-                    heavy = True
-                    out += [(k, *g[:2], None, *g[2:]) for g in group]
-                    group = []
             if out:
                 yield _frame(out, columns)
-        if group and not heavy:
+        if group:
             yield _frame(finish(now, group), columns)
     return run
 
@@ -286,26 +303,31 @@ def _contexts(window: int):
             for key, text, asked in pdf.itertuples(index=False):
                 raw = text.encode()
                 for r in asked:
-                    start, shape = r["start"], r["shape"]
-                    rows.append((r["k"], key, start, shape & 0xFFFF,
+                    k, start, shape = r["k"], r["start"], r["shape"]
+                    rows.append((key ^ start if r["heavy"] else k, r["heavy"], k, key, start, shape & 0xFFFF,
                                  raw[start:start + (shape >> 16) + window], r["kind"] == 2))
-            yield pd.DataFrame(rows, columns=["k", "key", "start", "at", "ctx", "once"])
+            yield pd.DataFrame(rows, columns=["deal", "heavy", "k", "key", "start", "at", "ctx", "once"])
     return cut
 
 
 def repeated_spans(texts: DataFrame, found: DataFrame, window: int, work: Scratch) -> DataFrame:
     """key, start, end of repeated spans in bytes, from the matches of a scan."""
-    asked = (found.where("kind > 0").groupBy("key")
-             .agg(F.collect_set(F.struct("kind", "k", "start", "shape")).alias("asked")))
+    shares = found.where("kind > 0")
+    heavy = work.write(shares.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEAVY)
+                       .select("k", F.lit(True).alias("heavy")), "heavy")
+    asked = (shares.join(heavy, "k", "left").groupBy("key")
+             .agg(F.collect_set(F.struct("kind", "k", "start", "shape", F.coalesce("heavy", F.lit(False))
+                                         .alias("heavy"))).alias("asked")))
     contexts = (texts.join(asked, "key").select("key", "text", "asked")
                 .mapInPandas(_contexts(window), _CONTEXT).distinct())
-    shared = contexts.repartition("k").sortWithinPartitions("k").mapInPandas(_resolved(window), _SPANS)
-    shared = work.write(shared, "shared")
+    shared = work.write(contexts.repartition("deal").sortWithinPartitions("heavy", "k")
+                        .mapInPandas(_resolved(window), _SPANS), "shared")
     whole = found.where("kind = 0").select(
         "key", "start", (F.col("start") + F.shiftright("shape", 16) + window).alias("end"))
     spans = whole.unionByName(shared.where("end is not null").select("key", "start", "end"))
-    heavy = shared.where("end is null")
-    return spans if heavy.isEmpty() else spans.unionByName(_heavy(heavy, window))
+    if heavy.isEmpty():
+        return spans
+    return spans.unionByName(_heavy(shared.where("end is null"), window))
 
 
 def deduplicated(docs: DataFrame, batch_of: Column | None = None, batches: int = 1, id_col: str = "doc_id",
