@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,12 +41,15 @@ def build_session(master: str | None = None, app: str = "leadlens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The setting is required in every mode: intermediate tables never go to a
-    folder of the library's own choosing.
+    A cluster must name one. Only on a local master that names none, as in
+    tests, a folder is made and entered in the session's settings.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        d = tempfile.mkdtemp(prefix="leadlens-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
