@@ -26,6 +26,12 @@ def test_parity_and_round_trip(spark, reference):
                for r in got.collect())
 
 
+def test_every_row_is_verified_by_default(spark):
+    docs = documents(spark, [*texts(), *((100 + k, t) for k, t in enumerate(ODD))])
+    assert docs.count() == sp.tokens(docs).where("parity").count()
+    assert docs.count() == docs.select(sp.encoded(F.col("text")).alias("e")).where("e.parity").count()
+
+
 def test_decoding_a_column(spark):
     rows = [(k, t) for k, t in enumerate(ODD) if "▁" not in t]
     done = documents(spark, rows).select("text", sp.decoded(sp.encoded(F.col("text"))["ids"]).alias("again"))
