@@ -2,8 +2,8 @@
 
 Concatenated host names are split into words by a unigram Viterbi search, and a
 multinomial naive Bayes model over the words of host and path tells wanted
-from unwanted pages. Word counts come from all page titles, paths and top-level domains; the
-dictionary keeps the ``DICTIONARY`` most frequent words. The naive Bayes model
+from unwanted pages. Word counts come from all page titles, paths and top-level
+domains, and every word counts, however rare. The naive Bayes model
 has no labelled rows, so it learns from urls whose words hold one of the
 ``SEEDS`` (block) or none of them (allow), and then scores every url by all its
 words.
@@ -13,8 +13,11 @@ no words, so the more frequent class decides (allow if no page was seen); rows
 that repeat an id each get their result; a null html counts as empty; further
 columns are not read.
 
-Scale: counts are grouped sums; what reaches the driver and the executors is
-bounded by the dictionary. Scoring is one pass without a shuffle.
+Scale: words, their counts and their weights are tables. Urls are judged once
+each: the substrings of their distinct names are joined to the words, a name is
+split by the words that matched it, and splits and weights are joined back by
+name and word. The driver gets sums, and how many words have the same count (as
+many rows as the square root of twice the running words, at most).
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DICTIONARY = 50_000
+from leadlens.llm.tables import Scratch
+
 LONGEST = 24
 OTHER, NUMBER = "<other>", "<number>"
 # fixed values: the rules to apply, (verdict, host and path)
@@ -68,19 +72,12 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 class Segmenter:
     """Unigram Viterbi: the most likely split of a name into dictionary words."""
 
-    def __init__(self, counts: dict[str, int]):
-        self.total = math.log(max(2, sum(counts.values())))
+    def __init__(self, counts: dict[str, int], total: float | None = None):
+        """``total``: log of all words' number, where ``counts`` has only some of them."""
+        self.total = math.log(max(2, sum(counts.values()))) if total is None else total
         self.cost = {w: self.total - math.log(n) for w, n in counts.items()}
-        self._seen: dict[str, list[str]] = {}
 
     def split(self, name: str) -> list[str]:
-        if name not in self._seen:
-            if len(self._seen) > 100_000:
-                self._seen.clear()
-            self._seen[name] = self._split(name)
-        return self._seen[name]
-
-    def _split(self, name: str) -> list[str]:
         best, back = [0.0] + [math.inf] * len(name), [0] * (len(name) + 1)
         for end in range(1, len(name) + 1):
             for start in range(max(0, end - LONGEST), end):
@@ -95,80 +92,122 @@ class Segmenter:
             end = back[end]
         return words[::-1]
 
-    def words(self, host: str, path: str) -> list[str]:
-        """Words of host and path; numbers and unknown words as one of a kind."""
-        out = []
-        for part in _TOKEN.findall(f"{host} {path}".lower()):
-            if part[0].isdigit():
-                out.append(NUMBER)
-            else:
-                out += [w if w in self.cost else OTHER for w in self.split(part)]
-        return out
+
+def _substrings(name: str) -> list[str]:
+    """What a dictionary word in the name can be."""
+    if not "a" <= name[:1] <= "z":
+        return []
+    return sorted({name[i:j] for i in range(len(name)) for j in range(i + 2, min(len(name), i + LONGEST) + 1)})
 
 
 @dataclass
 class Model:
-    counts: dict[str, int]           # dictionary
+    words: DataFrame                 # dictionary: word, n
+    total: float                     # log of the sum of n
     prior: float = -1.0              # log odds of block
-    weights: dict[str, float] | None = None
+    weights: DataFrame | None = None     # word, weight
 
 
-def dictionary(pages: DataFrame) -> dict[str, int]:
+def dictionary(pages: DataFrame) -> tuple[DataFrame, float]:
+    """word and n of every word, and the log of the sum of n."""
     titles = F.regexp_extract(F.coalesce("html", F.lit("")), "(?i)<title>([^<]*)", 1)
     url = F.coalesce("url", F.lit(""))
     # the parts of urls that are single words; the names before the last dot are to be split
     domain = F.regexp_extract(host_of(url), r"\.([^.]+)$", 1)
     text = F.concat_ws(" ", titles, domain, path_of(url))
-    words = (pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{2,24}"), 0)).alias("word"))
-             .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "word").limit(DICTIONARY))
-    counts = {r["word"]: r["n"] for r in words.collect()}
-    if counts:
-        typical = sorted(counts.values())[len(counts) // 2]
-        for seed in SEEDS:                    # known words, also where no title has them
-            counts[seed] = max(counts.get(seed, 0), typical + 1)
-    return counts
+    words = Scratch(pages.sparkSession, "url-words").write(
+        pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{2,24}"), 0)).alias("word"))
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
+    alike = sorted((r["n"], r["k"]) for r in words.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect())
+    if not alike:
+        return words, math.log(2)
+    total, half = sum(n * k for n, k in alike), sum(k for _, k in alike) // 2
+    for typical, k in alike:
+        half -= k
+        if half < 0:
+            break
+    # known words, also where no title has them
+    seen = {r["word"]: r["n"] for r in words.where(F.col("word").isin(*SEEDS)).collect()}
+    raised = {seed: max(seen.get(seed, 0), typical + 1) for seed in SEEDS}
+    known = pages.sparkSession.createDataFrame(list(raised.items()), words.schema)
+    return (words.where(~F.col("word").isin(*SEEDS)).unionByName(known),
+            math.log(max(2, total + sum(raised.values()) - sum(seen.values()))))
+
+
+def segmented(pages: DataFrame, words: DataFrame, total: float) -> DataFrame:
+    """key, n (pages) and words of every distinct host and path; numbers and
+    unknown words as one of a kind."""
+    @F.pandas_udf("array<string>")
+    def parts(hosts: pd.Series, paths: pd.Series) -> pd.Series:
+        return pd.Series([_TOKEN.findall(f"{h} {p}".lower()) for h, p in zip(hosts, paths, strict=True)], dtype=object)
+
+    @F.pandas_udf("array<string>")
+    def substrings(names: pd.Series) -> pd.Series:
+        return pd.Series([_substrings(x) for x in names], dtype=object)
+
+    @F.pandas_udf("array<string>")
+    def split(names: pd.Series, own: pd.Series, counts: pd.Series) -> pd.Series:
+        out = []
+        for name, known, n in zip(names, own, counts, strict=True):
+            s = Segmenter({} if known is None else {w: int(c) for w, c in zip(known, n, strict=True)}, total)
+            out.append([w if w in s.cost else OTHER for w in s.split(name)])
+        return pd.Series(out, dtype=object)
+    work = Scratch(pages.sparkSession, "url-names")
+    urls = work.write(_places(pages).groupBy("key", "host", "path").agg(F.count(F.lit(1)).alias("n"))
+                      .select("key", "n", parts("host", "path").alias("parts")), "urls")
+    named = urls.select("key", F.posexplode("parts").alias("at", "part"))
+    # a long name goes by its digest, so that its substrings don't carry it
+    digest = F.when(F.length("part") > 64, F.concat(F.lit("#"), F.sha2("part", 256))).otherwise(F.col("part"))
+    names = named.where(~F.col("part").rlike("^[0-9]")).select("part").distinct().withColumn("name", digest)
+    own = (names.select("name", F.explode(substrings("part")).alias("word")).join(words, "word")
+           .groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("own")))
+    splits = names.join(own, "name", "left").select("part", split("part", "own.word", "own.n").alias("found"))
+    found = (named.join(splits, "part", "left")
+             .select("key", "at", F.coalesce("found", F.array(F.lit(NUMBER))).alias("found"))
+             .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "found"))).alias("found"))
+             .select("key", F.flatten("found.found").alias("words")))
+    none = F.array().cast("array<string>")
+    return work.write(urls.join(found, "key", "left").select("key", "n", F.coalesce("words", none).alias("words")),
+                      "words")
+
+
+def _places(pages: DataFrame, *columns: str) -> DataFrame:
+    """Host, path and their digest of every page; a path starts with a slash, so both together tell them apart."""
+    url = F.coalesce("url", F.lit(""))
+    return (pages.select(*columns, host_of(url).alias("host"), path_of(url).alias("path"))
+            .withColumn("key", F.unhex(F.md5(F.concat("host", "path")))))
 
 
 def fit(pages: DataFrame) -> Model:
-    counts = dictionary(pages)
-
-    def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split = Segmenter(counts)
-        for pdf in batches:
-            found: dict[tuple[str, int], int] = {}
-            for host, path in zip(pdf["host"], pdf["path"], strict=True):
-                words = split.words(host, path)
-                bad = int(any(w in SEEDS for w in words))
-                for w in ["", *words]:         # the empty word counts urls
-                    found[w, bad] = found.get((w, bad), 0) + 1
-            yield pd.DataFrame([(w, b, n) for (w, b), n in found.items()], columns=["word", "bad", "n"])
-    url = F.coalesce("url", F.lit(""))
-    rows = (pages.select(host_of(url).alias("host"), path_of(url).alias("path"))
-            .mapInPandas(seen, "word string, bad int, n long")
-            .groupBy("word").pivot("bad", [0, 1]).agg(F.sum("n")).na.fill(0).collect())
-    by_word = {r["word"]: (r["0"], r["1"]) for r in rows}
-    good, bad = by_word.pop("", (0, 0))
-    if not good + bad:
-        return Model(counts)
-    sums = [sum(n[k] for n in by_word.values()) + len(by_word) + 1 for k in (0, 1)]
-    weights = {w: math.log((b + 1) / sums[1]) - math.log((g + 1) / sums[0]) for w, (g, b) in by_word.items()}
-    return Model(counts, math.log((bad + 1) / (good + 1)), weights)
+    words, total = dictionary(pages)
+    bad = F.arrays_overlap("words", F.array(*map(F.lit, SEEDS)))
+    urls = segmented(pages, words, total).select("words", F.when(bad, 0).otherwise(F.col("n")).alias("good"),
+                                                 F.when(bad, F.col("n")).otherwise(0).alias("bad"))
+    seen = urls.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
+    if seen["good"] is None:
+        return Model(words, total)
+    by_word = Scratch(pages.sparkSession, "url-model").write(
+        urls.select(F.explode("words").alias("word"), "good", "bad")
+        .groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")), "by_word")
+    sums = by_word.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"),
+                       F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
+    good, bad = sums["good"] + sums["n"] + 1, sums["bad"] + sums["n"] + 1
+    weight = F.log((F.col("bad") + 1) / F.lit(bad)) - F.log((F.col("good") + 1) / F.lit(good))
+    return Model(words, total, math.log((seen["bad"] + 1) / (seen["good"] + 1)),
+                 by_word.select("word", weight.alias("weight")))
 
 
 def judged(pages: DataFrame, model: Model, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, words (segmented) and log odds of block."""
-    @F.pandas_udf("words array<string>, odds double")
-    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        split, weights = Segmenter(model.counts), model.weights or {}
-        for hosts, paths in batches:
-            rows = [split.words(h, p) for h, p in zip(hosts, paths, strict=True)]
-            yield pd.DataFrame({"words": rows, "odds": [
-                model.prior + sum(weights.get(w, 0.0) for w in words) for words in rows]})
-    url = F.coalesce("url", F.lit(""))
-    rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
+    urls = segmented(pages, model.words, model.total)
+    odds = F.lit(model.prior)
+    if model.weights is not None:
+        weighed = (urls.select("key", F.posexplode("words").alias("at", "word")).join(model.weights, "word")
+                   .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "weight"))).alias("w")))
+        urls = urls.join(weighed, "key", "left")
+        odds += F.aggregate(F.coalesce("w.weight", F.array().cast("array<double>")), F.lit(0.0), lambda a, w: a + w)
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    return (rows.select("*", name.alias("rule"), verdict.alias("said"), score("host", "path").alias("s"))
-            .select("page_id", "host", "path", "rule",
-                    F.coalesce("said", F.when(F.col("s.odds") > 0, "block").otherwise("allow")).alias("verdict"),
-                    "s.words", "s.odds"))
+    return (_places(pages, "page_id").join(urls.select("key", "words", odds.alias("odds")), "key")
+            .select("page_id", "host", "path", name.alias("rule"),
+                    F.coalesce(verdict, F.when(F.col("odds") > 0, "block").otherwise("allow")).alias("verdict"),
+                    "words", "odds"))

@@ -51,6 +51,28 @@ def test_words_of_unwanted_sites_block(spark):
     assert got == ["allow"] * 30 + ["block"] * 8
 
 
+def test_rare_words_count_beside_very_many_others(spark):
+    letters = "bcdfghjklmnpqrstvwxz"
+    many = [f"q{a}{b}{c}{d}y" for a in letters for b in letters for c in letters for d in letters[:7]]
+    assert len(many) > 50_000
+    html = f"<title>alpha {' '.join(many)}</title>"
+    rows = [(0, "http://a.org/", html), (1, "http://b.org/", html), (2, "http://c.org/", "<title>alphabet</title>"),
+            (3, "http://www.alphabet.org/x", ""), (4, "http://alphabet.org/x", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in url_filter.judged(df, url_filter.fit(df)).collect()}
+    assert list(got[4]["words"]) == ["alphabet", "org", url_filter.OTHER]
+    assert [got[k]["verdict"] for k in range(5)] == ["allow"] * 5
+
+
+def test_one_url_on_many_pages_and_long_names(spark):
+    long = "gardennews" * 300
+    urls = ["http://gardennews.org/a1"] * 5 + [f"http://{long}.org/", "http://x.org/\u00e9\u00e9"]
+    df = pages(spark, urls, "<title>garden news</title>")
+    got = {r["page_id"]: list(r["words"]) for r in url_filter.judged(df, url_filter.fit(df)).collect()}
+    assert len(got) == 7 and got[0] == got[4] == ["garden", "news", "org", url_filter.OTHER, url_filter.NUMBER]
+    assert got[5] == [*["garden", "news"] * 300, "org"] and got[6][2:] == [url_filter.OTHER]
+
+
 def test_empty_table(spark):
     df = pages(spark, []) if False else pages(spark, ["http://a.org/"]).where("page_id > 5")
     assert url_filter.judged(df, url_filter.fit(df)).count() == 0
