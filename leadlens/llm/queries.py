@@ -23,7 +23,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
-                        F.sha2("base", 256).alias("base_sha256"), F.col("all").alias("spans"))
+                        F.sha2("base", 256).alias("base_sha256"), F.col("all").alias("spans"), "scores")
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

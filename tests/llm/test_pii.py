@@ -2,7 +2,7 @@ import brute
 import pytest
 from fixture import documents, texts
 
-from leadlens.llm import pii
+from leadlens.llm import pii, queries
 
 CASES = [
     "write to a.b+c@d-e.co.uk, x@y, @z.de, p@q.r.s.t@u.v, a@b.c_d@e.f x@y.z.",
@@ -33,6 +33,34 @@ def test_account_numbers_and_context(spark):
     assert near["spans"][0]["score"] == pytest.approx(0.6) and far["spans"][0]["score"] == pytest.approx(0.5)
 
 
+ACCOUNTS = [
+    ("DE89370400440532013000 Please ok", ["DE89370400440532013000"]),
+    ("an DE89 3704 0044 0532 0130 00 EUR 500", ["DE89 3704 0044 0532 0130 00"]),
+    ("DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32 NO9386011117947 A1",
+     ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"]),
+    ("DE12 3456 DE89 3704 0044 0532 0130 00 B2", ["DE89 3704 0044 0532 0130 00"]),
+    ("\u00e9\U0001F600 MT84MALT011000012345MTLCAST001S X", ["MT84MALT011000012345MTLCAST001S"]),
+    ("DE89370400440532013000X xDE89370400440532013000 DE8937040044053201300 ZZ89370400440532013000", []),
+    ("DE12 " * 4_000 + "DE89370400440532013000 A", ["DE89370400440532013000"]),
+]
+
+
+def test_account_numbers_end_where_their_country_says(spark):
+    rows = list(enumerate(t for t, _ in ACCOUNTS))
+    got = {r["id"]: r["spans"] for r in pii.personal_data(documents(spark, rows)).collect()}
+    for k, (text, want) in enumerate(ACCOUNTS):
+        assert [text[s["start"]:s["end"]] for s in got[k] if s["kind"] == "iban"] == want, text[:60]
+
+
+def test_the_query_returns_scores_beside_spans(spark, tmp_dir):
+    rows = [(1, "server 1.2.3.4"), (2, "in 1.2.3.4, konto DE89370400440532013000 EUR"), (3, "none"),
+            (4, "x " * 60 + "DE89370400440532013000 B " + "x " * 60 + "GB82WEST12345698765432 bank")]
+    documents(spark, rows).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = {r["doc_id"]: (r["spans"], r["scores"]) for r in queries.op3_personal_data(spark, tmp_dir).collect()}
+    assert got[1] == ("ip:7:14", "0.6") and got[2] == ("ip:3:10,iban:18:40", "0.5,1.0") and got[3] == ("", "")
+    assert got[4][1] == "0.9,1.0"
+
+
 def test_plan_has_no_python(spark):
     plan = pii.personal_data(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
