@@ -10,7 +10,9 @@ language is narrow is marked as rejected.
 Dictionaries are learned from rows with a language whose crc32 of the id is
 not 2 modulo 4: about ``SAMPLE_TEXTS`` texts a language, chosen by a hash of the
 id, of which ``DICT_BYTES`` bytes are kept (bounds of the fit alone; a prediction
-reads the whole text).
+reads the whole text). Each text gives the same share, from a place chosen by a
+hash of the id over the whole text, so that a header that all texts of a source
+begin with doesn't fill the dictionaries.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 so is every text if no language could be learned; equal sums go to the language
@@ -60,13 +62,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     draw = F.pmod(F.xxhash64("id"), F.lit(10_000_000))
     for lang, n in sizes.items():
         chosen |= (F.col("lang") == lang) & (draw < min(10_000_000, math.ceil(10_000_000 * SAMPLE_TEXTS / n)))
-    rows = (known.where(chosen).select("lang", F.substring("text", 1, SAMPLE_POINTS).alias("text"),
-                                       F.xxhash64("id").alias("at")).collect())
+    place = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.lit(1), F.length("text") - SAMPLE_POINTS + 1)) + 1
+    rows = (known.where(chosen).select("lang", F.substr("text", place.cast("int"), F.lit(SAMPLE_POINTS)).alias("text"),
+                                       F.xxhash64("id").alias("at"), F.xxhash64("id", F.lit(2)).alias("from")).collect())
     found: dict[str, bytes] = {}
     for lang in sorted(sizes, key=lambda x: (-sizes[x], x)):
-        texts = [plain(r["text"]) for r in sorted(rows, key=lambda r: r["at"]) if r["lang"] == lang]
+        texts = [(plain(r["text"]), r["from"]) for r in sorted(rows, key=lambda r: r["at"]) if r["lang"] == lang]
         share = max(200, DICT_BYTES // max(1, len(texts)))
-        found[lang] = b" ".join(t[:share] for t in texts)[-DICT_BYTES:]
+        starts = [at % max(1, len(t) - share + 1) for t, at in texts]
+        found[lang] = b" ".join(t[a:a + share] for (t, _), a in zip(texts, starts, strict=True))[-DICT_BYTES:]
     return found
 
 

@@ -34,6 +34,18 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in got) and by[1000]["score"] == 0
 
 
+def test_a_header_of_all_texts_does_not_fill_the_dictionaries(spark):
+    header = " ".join([BASE["en"]] * 80)
+    df = spark.createDataFrame([(d, header + " " + " ".join([t] * 60), g) for d, t, g in corpus(160)],
+                               "doc_id long, text string, lang string")
+    learned = language_id.fit(df)
+    for lang, word in (("de", "häusern"), ("fr", "paresseux")):
+        body = learned[lang].count(word.encode())
+        assert body > learned[lang].count(b"houses"), (lang, body)
+    c = language_id.Classifier(learned)
+    assert all(c.predict(t)[0] == g for _, t, g in corpus(160) if g != "en")     # the header itself is English
+
+
 def test_without_labels_everything_is_unknown(spark):
     df = documents(spark).withColumn("lang", F.lit(None).cast("string"))
     got = language_id.identified(df, language_id.fit(df)).collect()
