@@ -5,7 +5,7 @@ import pytest
 from fixture import documents, prose, rows_of, texts
 from pyspark.sql import functions as F
 
-from leadlens.llm import suffix_dedup
+from leadlens.llm import queries, suffix_dedup
 
 
 def summary(done):
@@ -51,6 +51,20 @@ def test_levels_merge_geometrically(spark):
     assert ranks == [[0], [1], [1, 0], [2], [2, 0]]
 
 
+def test_the_query_merges_levels(spark, tmp_dir, monkeypatch):
+    documents(spark).write.parquet(f"{tmp_dir}/documents.parquet")
+    ranks, push = [], suffix_dedup.LogIndex.push
+
+    def seen(index, rows):
+        push(index, rows)
+        ranks.append([r for r, _ in index.levels])
+    monkeypatch.setattr(suffix_dedup.LogIndex, "push", seen)
+    got = queries.op10_suffix_dedup(spark, tmp_dir)
+    assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(
+        brute.repeated_bytes(texts()), key=repr)
+    assert max(max(r) for r in ranks) > 0 and len(ranks[-1]) > 1
+
+
 def test_kept_bytes_are_the_input_without_the_spans(spark):
     for r in suffix_dedup.deduplicated(documents(spark, [(1, "x" * 250 + "é"), (2, "short")])).collect():
         text = {1: "x" * 250 + "é", 2: "short"}[r["id"]].encode()
