@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.llm import (decontaminate, exact_dedup, html_text, language_id, pii,
-                          sentencepiece_tokens, simhash, suffix_dedup, toxicity, url_filter)
+                          quality_rules, sentencepiece_tokens, simhash, suffix_dedup, toxicity, url_filter)
 from leadlens.llm.tables import table
 
 
@@ -74,6 +74,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judged(docs, model).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_decontamination": op2_decontamination,
@@ -85,6 +91,7 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_quality_rules": op12_quality_rules,
 }
 
 ORACLE_SQL = {
