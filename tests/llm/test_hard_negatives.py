@@ -1,0 +1,128 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from fixture import rows_of
+
+from leadlens.llm import hard_negatives as h
+
+CLASH = "clash string, rid string, x string, tile string, part string, score string, rank string"
+
+
+def usable(v):
+    return v is not None and all(c is not None and math.isfinite(c) for c in v)
+
+
+def product(a, b):
+    return sum(math.floor(256 * c) * math.floor(256 * d) for c, d in zip(a, b))
+
+
+def brute(rows, anchors, positives=5, negatives=10):
+    """rows: (id, vector, label); by comparing all pairs."""
+    rows = [(i, v, g) for i, v, g in rows if g is not None and usable(v)]
+    last = lambda s: (-s[0], s[1] is None, s[1] or 0)
+    out = []
+    for k, (a, v, g) in enumerate(rows):
+        if not anchors(a):
+            continue
+        scores = [(product(v, w), i, other == g) for j, (i, w, other) in enumerate(rows) if j != k]
+        for s, p, _ in sorted((x for x in scores if x[2]), key=last)[:positives]:
+            inside = sorted((x for x in scores if not x[2] and 30 * s <= 100 * x[0] <= 90 * s), key=last)
+            out += [(a, p, rank, n, s, t) for rank, (t, n, _) in enumerate(inside[:negatives], 1)]
+    return sorted(out, key=repr)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, g, *["c"] * 7) for i, v, g in rows],
+                                 f"vec_id long, embedding array<double>, label int, {CLASH}")
+
+
+def mine(spark, rows, divisor=10, **more):
+    df = frame(spark, rows)
+    found = h.mined(df, df["vec_id"] % divisor == 0, **more)
+    return rows_of(found, "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def clustered(n, dims, seed, hot=0.0):
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(6, dims))
+    rows = []
+    for k in range(n):
+        v = centres[0] if r.random() < hot else centres[k % 6] + 0.4 * r.normal(size=dims)
+        rows.append((k, [float(c) for c in v / np.linalg.norm(v)], int(r.integers(4))))
+    return rows
+
+
+@pytest.fixture
+def small(monkeypatch):
+    for name, value in {"LEAF": 8, "FANOUT": 3, "TILE_ROWS": 64, "TILES": (4, 64), "SAMPLE_ROWS": 100, "BLOCK": 16,
+                        "TREE_LEAVES": 7}.items():
+        monkeypatch.setattr(h, name, value)
+
+
+@pytest.mark.parametrize("hot", [0.0, 0.4])
+def test_equals_brute_force(spark, small, hot):
+    rows = clustered(420, 8, 1, hot)
+    got = mine(spark, rows)
+    assert got == brute(rows, lambda i: i % 10 == 0) and len(got) > 500
+
+
+def test_odd_rows_ties_and_repeated_rows(spark, small):
+    nan, inf = float("nan"), float("inf")
+    rows = clustered(60, 4, 2) + [
+        (70, None, 1), (80, [], 1), (90, [nan, 0.0, 0.0, 1.0], 1), (100, [1.0, inf, 0.0, 0.0], 2), (110, [1.0, None, 0.0, 0.0], 2),
+        (120, [1.0, 0.0, 0.0, 0.0], None), (None, [0.5, 0.5, 0.5, 0.5], 1), (None, [0.5, 0.5, 0.5, 0.5], 2),
+        (0, [0.5, 0.5, 0.5, 0.5], 1), (200, [0.5], 1), (211, [0.5, 0.1, 0.0, 0.0], 3), (212, [0.5, 0.1, 0.0, 0.0], 3),
+        (130, [300.0, 0.0, 0.0, 0.0], 1), (131, [200.0, 1.0, 0.0, 0.0], 1), (132, [150.0, 1.0, 0.0, 0.0], 2)]
+    rows += clustered(60, 4, 2)[:20]                       # the same rows once more
+    assert mine(spark, rows) == brute(rows, lambda i: i is not None and i % 10 == 0)
+
+
+def test_empty_tables_and_missing_partners(spark):
+    assert mine(spark, []) == []
+    assert mine(spark, [(0, [1.0, 2.0], 1)]) == []
+    assert mine(spark, [(0, [1.0], 1), (1, [-1.0], 1), (2, [0.5], 2)]) == []       # a negative score has no window
+    assert mine(spark, [(0, [], 1), (1, [], 1), (2, [], 2)]) == []
+    assert mine(spark, [(0, [0.0], 1), (1, [1.0], 1), (2, [0.5], 2)]) == [(0, 1, 1, 2, 0, 0)]
+
+
+def test_very_large_entries_are_exact_or_saturate(spark):
+    big = [(0, [2.0 ** 24, 1.0], 1), (1, [2.0 ** 20, 3.0], 1), (2, [2.0 ** 19, 5.0], 2), (3, [2.0 ** 19, 6.0], 2)]
+    assert mine(spark, big) == brute(big, lambda i: i % 10 == 0) != []
+    huge = [(0, [1e300, 1.0], 1), (1, [1e300, 0.0], 1), (2, [1e200, 0.0], 2)]
+    assert mine(spark, huge) == []                         # all scores are the largest number
+
+
+def test_every_row_is_in_one_leaf_and_boxes_hold_their_rows():
+    r = np.random.default_rng(4)
+    x = np.floor(r.normal(size=(1000, 5)) * 100)
+    leaves = h.packed(x)
+    assert sorted(np.concatenate(leaves).tolist()) == list(range(1000))
+    assert max(map(len, leaves)) <= h.LEAF and len(leaves) <= 2 * 1000 / h.LEAF
+    tree = h.cuts(x[:200, :3], 16)
+    numbers = h.tile_numbers(x[:, :3], tree)
+    assert len(set(numbers.tolist())) == 16 and np.bincount(numbers).max() < 4 * 1000 / 16
+
+
+def test_clustered_rows_are_mostly_pruned(monkeypatch):
+    """An anchor of a tight cluster reads the leaves of its cluster only."""
+    import pandas as pd
+    r = random.Random(1)
+    x = np.array([[1000 * (k % 8 == j) + r.randrange(20) for j in range(8)] for k in range(4096)], dtype=np.float64)
+    rows = [(0, k, np.arange(len(i)).astype(np.int64).tobytes(), i.astype(np.int64).tobytes(), bytes(len(i)),
+             np.ones(len(i), dtype=np.int64).tobytes(), 8, False, x[i].astype(np.int16).tobytes())
+            for k, i in enumerate(h.packed(x))]
+    tree = h.Tree(pd.DataFrame(rows, columns=["part", "leaf", "rids", "ids", "nulls", "labels", "dims", "wide", "x"]))
+    opened = []
+
+    class Seen(list):
+        def __getitem__(self, k):
+            opened.append(k)
+            return list.__getitem__(self, k)
+    tree.rows = Seen(tree.rows)
+    a = h.Anchor(-1, 1, x[0], [(-math.inf, math.inf)])
+    tree.search(a, True, 5)
+    best = np.sort(x @ x[0])[::-1][:5]
+    assert [-f[0] for f in a.found[0]] == best.tolist()
+    assert len(opened) <= len(tree.rows) / 4
