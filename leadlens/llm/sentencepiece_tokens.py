@@ -4,9 +4,16 @@ The model's protobuf is read here and rebuilt as a tokenizers pipeline: its
 normaliser (character map, spare white space, dummy prefix, the metaspace
 marker for spaces), unigram scores or merges in order of their scores, byte
 fallback, and the decoder that undoes them. Batches are encoded by that
-library's own threads. Every row is also encoded by the sentencepiece library
-and decoded again; a caller may ask for parity on one row in ``verify_one_in``
-(by a hash of its text) instead.
+library's own threads. Every row is verified: its normalised text must be the
+same in both libraries, and so must its ids, and decoding them must give the
+text again.
+
+Where no piece has a marker behind another character, no token reaches from one
+word (markers and what follows them) into the next. Then the ids of a text are
+those of its words, in either library, and a task encodes, verifies and decodes
+each distinct word once; texts are put together from them. Texts that are
+normalised differently, words that don't come apart and models with other
+pieces go through the libraries whole.
 
 Defined cases: null and empty texts have no tokens and decode to the empty
 text; texts are encoded whole, however long; repeated rows each get their
@@ -14,13 +21,14 @@ result; further columns are not read. Control pieces that a text spells out are
 ordinary text.
 
 Scale: no shuffle; the model (half a megabyte) is the only thing sent to
-executors, and one call encodes ``CALL_BYTES`` of text at most, but for a single
-longer text.
+executors, one call encodes ``CALL_BYTES`` of text at most, but for a single
+longer text, and a task remembers ``WORDS`` words, then begins anew.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,7 +36,6 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +44,9 @@ from leadlens.llm.tables import narrowed
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CALL_BYTES = 1_000_000
 THREADS = 2
+WORDS, GROUP = 400_000, 500      # remembered by a task, encoded as one text
 MARK = "▁"
+_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 # fixed values: kinds of pieces and models in the model's protobuf
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -133,6 +142,9 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         self.tokens = rebuild(data)
         self.data, self._reference = data, None
+        model = PieceModel.parse(data)
+        # the rebuilt normaliser of such a model puts markers for blanks and one in front, no more
+        self.plain = model.dummy_prefix and not model.char_map and not model.spare_blanks
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
         call, size = [], 0
@@ -147,32 +159,154 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         return self.tokens.decode(ids, skip_special_tokens=False)
 
-    def reference(self, text: str) -> list[int]:
-        """What the sentencepiece library makes of the text."""
+    @property
+    def sentencepiece(self):
         if self._reference is None:
             import sentencepiece
             self._reference = sentencepiece.SentencePieceProcessor(model_proto=self.data)
-        return self._reference.encode(text)
+        return self._reference
 
-
-def _rows(codec: Codec, texts: list[str], verify_one_in: int) -> Iterator[tuple]:
+    def reference(self, text: str) -> list[int]:
+        """What the sentencepiece library makes of the text."""
+        return self.sentencepiece.encode(text)
+
+    def normalised(self, text: str) -> str | None:
+        """The normalised text, if the libraries agree on it."""
+        own = (MARK + text.replace(" ", MARK) if text else "") if self.plain \
+            else self.tokens.normalizer.normalize_str(text)
+        return own if self.sentencepiece.normalize(text) == own else None
+
+
+class Words:
+    """Ids of distinct words, with whether both libraries give them and whether
+    they decode to the word."""
+
+    def __init__(self, codec: Codec):
+        model = PieceModel.parse(codec.data)
+        self.codec = codec
+        crossing = re.compile(f"[^{MARK}]{MARK}")
+        self.apart = model.byte_fallback and model.dummy_prefix and not any(
+            crossing.search(p) for p, _, kind in model.pieces if kind != BYTE)
+        self.sizes = np.array([1 if kind == BYTE else len(p.encode()) for p, _, kind in model.pieces])
+        self._begin()
+
+    def _begin(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.parity, self.decodes = np.zeros(0, bool), np.zeros(0, bool)
+
+    def _raw(self, norm: str) -> str:
+        """A text whose normalised form this is."""
+        return norm[1:].replace(MARK, " ")
+
+    def _encoded(self, groups: list[list[str]]) -> list[tuple | None]:
+        """For each group, the ids of its words one after the other, where each
+        ends, parity and decodes; nothing where the words don't come apart."""
+        raws = [self._raw("".join(words)) for words in groups]
+        out = []
+        others = self.codec.sentencepiece.encode(raws, num_threads=1)
+        for words, raw, ids, other in zip(groups, raws, self.codec.encode(raws), others, strict=True):
+            own = np.array(ids, dtype=np.int32)
+            ends, wanted = np.cumsum(self.sizes[own]), np.cumsum([len(w.encode()) for w in words])
+            at = np.searchsorted(ends, wanted)
+            if (self.codec.normalised(raw) != "".join(words) or not len(own) or at[-1] >= len(ends)
+                    or (ends[at] != wanted).any()):
+                out.append(None)
+            else:
+                out.append((own, at + 1, np.full(len(words), other == ids),
+                            np.full(len(words), self.codec.decode(ids) == raw)))
+        return out
+
+    def learn(self, words: list[str]) -> bool:
+        """Remember new words; false if some of them can't be had one by one."""
+        if any(not w.startswith(MARK) for w in words):
+            return False
+        # a word of markers alone would run into the next one
+        groups = [[w] for w in words if w[-1] == MARK]
+        rest = [w for w in words if w[-1] != MARK]
+        groups += [rest[a:a + GROUP] for a in range(0, len(rest), GROUP)]
+        found = []
+        for group, done in zip(groups, self._encoded(groups), strict=True):
+            if done is None or not (done[2].all() and done[3].all()):       # look at each word by itself
+                alone = [[w] for w in group]
+                each = self._encoded(alone)
+                if any(e is None for e in each):
+                    return False
+                found += zip(alone, each)
+            else:
+                found.append((group, done))
+        ends = [self.ends]
+        for group, done in found:
+            self.number.update(zip(group, range(len(self.number), len(self.number) + len(group))))
+            ends.append(ends[-1][-1] + done[1])
+        self.ends = np.concatenate(ends)
+        self.ids, self.parity, self.decodes = (np.concatenate([old, *(done[k] for _, done in found)]) for k, old in
+                                               ((0, self.ids), (2, self.parity), (3, self.decodes)))
+        return True
+
+    def rows(self, texts: list[str]) -> list[tuple | None]:
+        """(ids, roundtrip, parity) of texts; none where the whole text is asked for."""
+        out: list[tuple | None] = [None] * len(texts)
+        if not self.apart:
+            return out
+        if len(self.number) > WORDS:
+            self._begin()
+        norms = [self.codec.normalised(t) for t in texts]
+        kept = [k for k, n in enumerate(norms) if n is not None]
+        counts, words = [], []
+        for k in kept:
+            own = _WORD.findall(norms[k])
+            counts.append(len(own))
+            words += own
+        new = set(words).difference(self.number)
+        if new and not self.learn(list(new)):
+            return out
+        at = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        starts, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])]
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        bad = np.concatenate([[0], np.cumsum(~self.parity[at])])
+        lost = np.concatenate([[0], np.cumsum(~self.decodes[at])])
+        for k, a, z in zip(kept, bounds[:-1].tolist(), bounds[1:].tolist()):
+            roundtrip = lost[a] == lost[z] and self._raw(norms[k]) == texts[k]
+            out[k] = (ids[before[a]:before[z]], bool(roundtrip), bool(bad[a] == bad[z]))
+        return out
+
+
+def _whole(codec: Codec, texts: list[str]) -> Iterator[tuple]:
     """ids, whether decoding gives the text again, and whether the sentencepiece
-    library gives the same ids (none where not verified)."""
+    library gives the same ids, by both libraries on whole texts."""
     for text, ids in zip(texts, codec.encode(texts), strict=True):
-        checked = verify_one_in and xxhash.xxh64_intdigest(text) % verify_one_in == 0
-        yield (np.array(ids, dtype=np.int32), codec.decode(ids) == text,
-               codec.reference(text) == ids if checked else None)
+        yield np.array(ids, dtype=np.int32), codec.decode(ids) == text, codec.reference(text) == ids
+
+
+def _rows(codec: Codec, words: Words, texts: list[str]) -> list[tuple]:
+    """The same from the texts' words where that is the same."""
+    found = words.rows(texts)
+    rest = [k for k, f in enumerate(found) if f is None]
+    for k, row in zip(rest, _whole(codec, [texts[k] for k in rest]), strict=True):
+        found[k] = row
+    return found
+
+
+def _calls(texts: pd.Series) -> Iterator[pd.Series]:
+    """The texts, about ``CALL_BYTES`` at a time."""
+    sizes = texts.str.len().cumsum() // CALL_BYTES
+    for _, part in texts.groupby(sizes.to_numpy(), sort=False):
+        yield part
 
 
-def encoded(text: Column, model: str = MODEL, verify_one_in: int = 1, threads: int = THREADS) -> Column:
+def encoded(text: Column, model: str = MODEL, threads: int = THREADS) -> Column:
     """Struct column of ids, roundtrip and parity."""
     data = Path(model).read_bytes()
 
     @F.pandas_udf("ids array<int>, roundtrip boolean, parity boolean")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = Codec(data, threads)
+        words = Words(codec)
         for texts in batches:
-            yield pd.DataFrame(list(_rows(codec, texts.tolist(), verify_one_in)),
+            yield pd.DataFrame([r for part in _calls(texts) for r in _rows(codec, words, part.tolist())],
                                columns=["ids", "roundtrip", "parity"])
     return encode(F.coalesce(text, F.lit("")))
 
@@ -190,7 +324,7 @@ def decoded(ids: Column, model: str = MODEL) -> Column:
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL,
-           verify_one_in: int = 1, threads: int = THREADS) -> DataFrame:
+           threads: int = THREADS) -> DataFrame:
     """id, n_tokens, ids, roundtrip, parity of every row."""
     data = Path(model).read_bytes()
     rows = narrowed(docs, id_col, text_col)
@@ -199,12 +333,12 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec(data, threads)
+        words = Words(codec)
         for pdf in batches:
-            sizes = pdf["__text"].str.len().cumsum() // CALL_BYTES
-            for _, part in pdf.groupby(sizes.to_numpy(), sort=False):     # results leave call by call
-                done = list(_rows(codec, part["__text"].tolist(), verify_one_in))
-                yield pd.DataFrame({"id": part["__id"].array, "n_tokens": [len(r[0]) for r in done],
+            for part in _calls(pdf["__text"]):                            # results leave call by call
+                done = _rows(codec, words, part.tolist())
+                yield pd.DataFrame({"id": pdf.loc[part.index, "__id"].array, "n_tokens": [len(r[0]) for r in done],
                                     "ids": [r[0] for r in done], "roundtrip": [r[1] for r in done],
-                                    "parity": pd.array([r[2] for r in done], dtype="boolean")})
+                                    "parity": [r[2] for r in done]})
     done = rows.mapInPandas(encode, "id string, n_tokens long, ids array<int>, roundtrip boolean, parity boolean")
     return done.withColumn("id", F.col("id").cast(kind))
