@@ -3,12 +3,15 @@
 The reference decides each column's type from pandas ``value_counts`` and
 cell-wise Python. Here every decision comes from Spark aggregates:
 
-* ``top_values`` ranks the values of *all* columns in one shuffle
-  (unpivot -> count per (column, value) -> top-k per column, which Spark
-  plans with a partial ``WindowGroupLimit`` before the exchange);
-* ``column_stats`` counts, in a single aggregate pass, how many non-NULL
-  cells each column has and how many of them parse as numbers, raw and
-  after dropping '$' and ','; values are ranked only for columns left open.
+* ``column_stats`` counts, in a single aggregate pass, how many cells of a
+  column parse as numbers, raw and after dropping '$' and ',', how many hold
+  '$', and how many are shaped like dates. Where all cells or none have a
+  property, so has the most (or second most) frequent value, and the type is
+  decided without ranking anything;
+* for the other columns ``top_two`` takes candidates from a frequent-items
+  sketch, counts them exactly, and proves that no other value can be ahead of
+  them. Only a column whose proof fails (values that occur about equally often)
+  has its values ranked by ``top_values``, a grouped count.
 
 Only these per-column statistics (a few rows per column) reach the driver;
 the data itself is converted by built-in column expressions.
@@ -16,6 +19,7 @@ the data itself is converted by built-in column expressions.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +38,9 @@ DATE_FORMAT = "M/d/yyyy"
 DATE_DEFAULT = "1900-01-01"
 NUMBER_DEFAULT = 0.0
 
+SKETCH_ITEMS = 10_000      # values that a column's sketch tracks
+CANDIDATES = 64            # values taken from it
+
 
 def top_values(df: DataFrame, k: int = 2, columns: list[str] | None = None) -> DataFrame:
     """INF4: the k most frequent non-NULL values of every column.
@@ -52,7 +59,8 @@ class ColumnStats:
     non_null: int
     numeric: int
     money_numeric: int
-    top: list  # most frequent values, best first
+    money: bool = False     # the most frequent value holds '$'
+    date: bool = False      # the second most frequent value is shaped like a date
 
 
 def _is_number(c: Column) -> Column:
@@ -67,13 +75,17 @@ def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
                .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _date_shaped(c: Column) -> Column:
+    """Letter-free text with exactly three '/'-separated parts."""
+    slashes = F.length(c) - F.length(F.translate(c, "/", ""))
+    return (slashes == 2) & ~c.rlike(r"\p{L}")
+
+
 def column_stats(df: DataFrame, columns: list[str] | None = None) -> dict[str, ColumnStats]:
-    """Per-column statistics.
+    """Per-column statistics and what they say about the frequent values.
 
-    Cell totals and parse counts of all text columns come from one aggregate
-    without a shuffle of cells. The two most frequent values are only needed
-    for columns that don't parse as numbers; their values alone are counted
-    by a grouped sum.
+    Totals of all text columns come from one aggregate without a shuffle of
+    cells; values are looked at only where the totals leave a type open.
     """
     cols = [c for c in (columns or df.columns)
             if isinstance(df.schema[c].dataType, Ty.StringType)]
@@ -81,12 +93,65 @@ def column_stats(df: DataFrame, columns: list[str] | None = None) -> dict[str, C
         return {}
     row = df.agg(*[x for i, c in enumerate(cols) for x in (
         F.count(F.col(c)).alias(f"n{i}"), F.count_if(_is_number(F.col(c))).alias(f"num{i}"),
-        F.count_if(_is_number(F.translate(F.col(c), MONEY_DROP, ""))).alias(f"mon{i}"))]).first()
-    out = {c: ColumnStats(row[f"n{i}"], row[f"num{i}"], row[f"mon{i}"], []) for i, c in enumerate(cols)}
-    unsure = [c for c, x in out.items() if x.non_null and x.numeric < x.non_null]
-    if unsure:
-        for r in top_values(df, 2, unsure).orderBy("column_name", "rank").collect():
-            out[r["column_name"]].top.append(r["value"])
+        F.count_if(_is_number(F.translate(F.col(c), MONEY_DROP, ""))).alias(f"mon{i}"),
+        F.count_if(F.contains(F.col(c), F.lit("$"))).alias(f"dollar{i}"),
+        F.count_if(_date_shaped(F.col(c))).alias(f"date{i}"),
+        (F.min(c) < F.max(c)).alias(f"two{i}"))]).first()
+    out, unsure = {}, {}
+    for i, c in enumerate(cols):
+        n, dollars, dates = row[f"n{i}"], row[f"dollar{i}"], row[f"date{i}"]
+        x = out[c] = ColumnStats(n, row[f"num{i}"], row[f"mon{i}"])
+        if not n or x.numeric == n:
+            continue                                   # the numbers alone decide
+        x.money = dollars == n
+        x.date = dates == n and bool(row[f"two{i}"])
+        if 0 < dollars < n or (0 < dates < n and not x.money):
+            unsure[c] = n
+    for c, top in top_two(df, unsure).items():
+        out[c].money = "$" in top[0]
+        out[c].date = len(top) > 1 and not any(ch.isalpha() for ch in top[1]) and len(top[1].split("/")) == 3
+    return out
+
+
+def top_two(df: DataFrame, non_null: dict[str, int]) -> dict[str, list[str]]:
+    """The two most frequent values (ties by value) of columns that have
+    ``non_null`` cells, without exchanging their distinct values where a sketch
+    can be proven right.
+
+    Candidates come from a frequent-items sketch and are counted exactly. A
+    value that isn't among them occurs at most as often as the sketch's error
+    allows (3.5 / its slots, of which at least 4/3 * ``SKETCH_ITEMS`` are kept),
+    or as its last candidate, and no more often than there are cells left. If
+    the second candidate is ahead of that, the order is proven.
+    """
+    if not non_null:
+        return {}
+    cols = list(non_null)
+    text = df.select([F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
+    sketched = text.agg(*[F.expr(f"approx_top_k(c{i}, {CANDIDATES}, {SKETCH_ITEMS})").alias(f"k{i}")
+                          for i in range(len(cols))]).first()
+    candidates = {c: [(r["item"], r["count"]) for r in sketched[f"k{i}"] or [] if r["item"] is not None]
+                  for i, c in enumerate(cols)}
+    listed = df.sparkSession.createDataFrame(       # CANDIDATES rows a column at most
+        [(f"c{i}", v) for i, c in enumerate(cols) for v, _ in candidates[c]], "column_name string, value string")
+    exact: dict[str, list[tuple[int, str]]] = {c: [] for c in cols}
+    long = text.unpivot(ids=[], values=text.columns, variableColumnName="column_name", valueColumnName="value")
+    for r in (long.join(F.broadcast(listed), ["column_name", "value"], "left_semi")
+              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")).collect()):
+        exact[cols[int(r["column_name"][1:])]].append((-r["cnt"], r["value"]))
+    out, open_ = {}, []
+    for c in cols:
+        ranked = sorted(exact[c])
+        rest = non_null[c] + sum(n for n, _ in ranked)
+        least = candidates[c][-1][1] if len(candidates[c]) >= CANDIDATES else 0
+        others = min(rest, max(least, math.ceil(3 * non_null[c] / SKETCH_ITEMS)))
+        if rest == 0 or (len(ranked) > 1 and -ranked[1][0] > others):
+            out[c] = [v for _, v in ranked[:2]]
+        else:
+            open_.append(c)
+    if open_:
+        for r in top_values(df, 2, open_).orderBy("column_name", "rank").collect():
+            out.setdefault(r["column_name"], []).append(r["value"])
     return out
 
 
@@ -110,7 +175,7 @@ def numeric_plan(stats: dict[str, ColumnStats]) -> dict[str, str]:
     for c, s in stats.items():
         if s.non_null > 0 and s.numeric == s.non_null:
             plan[c] = "number"
-        elif s.top and "$" in s.top[0]:
+        elif s.money:
             plan[c] = "money" if s.money_numeric == s.non_null else "money_text"
     return plan
 
@@ -142,15 +207,8 @@ def infer_numeric(df: DataFrame, stats: dict[str, ColumnStats] | None = None) ->
 def date_plan(df: DataFrame, stats: dict[str, ColumnStats]) -> list[str]:
     """INF3 decision: the *second* most frequent value is letter-free text
     with exactly three '/'-separated parts."""
-    cols = []
-    for c, s in stats.items():
-        if c not in df.columns or not isinstance(df.schema[c].dataType, Ty.StringType):
-            continue
-        if len(s.top) > 1:
-            v = s.top[1]
-            if not any(ch.isalpha() for ch in v) and len(v.split("/")) == 3:
-                cols.append(c)
-    return cols
+    return [c for c, s in stats.items()
+            if s.date and c in df.columns and isinstance(df.schema[c].dataType, Ty.StringType)]
 
 
 def parse_date_cell(x: Column) -> Column:

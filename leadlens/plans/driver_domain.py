@@ -4,7 +4,9 @@ Lets the composite plans (PIPE1-PIPE6 prospect master, PIPE8 showing
 attribution) run over whole driver tables at any scale. Every table below is
 a projection or filter of a driver table, so its size grows with the data:
 
-  customers, prospects, applicants, clv_reports   <- customer (one each)
+  customers                                       <- customer (every 13th twice)
+  prospects, clv_reports                          <- customer (one each)
+  applicants                                      <- customer (some of those twice)
   promos / customers_promos                       <- orders by priority
   applications, applicants_applications,
   applications_cosigners, approvals, legacy ...   <- orders
@@ -17,28 +19,58 @@ a projection or filter of a driver table, so its size grows with the data:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.plans.synthetic import LEASE_SHIFT_DAYS, people, report_items, table
+from leadlens.plans.prospects import (APPLICANT_COLUMNS, APPLICANT_COLUMNS_2, APPLICANT_COLUMNS_3,
+                                      PROSPECT_COLUMNS)
+from leadlens.plans.synthetic import AGAIN, LEASE_SHIFT_DAYS, people, report_items, table
 
 # parts, suppliers and events stay in these proportions at every scale factor
 EVENTS_PER_UNIT = 5
 UNITS_PER_BUILDING = 20
 
 
+# Columns of the contract that no driver column stands for: derived from keys.
+PROSPECT_FILLED = [c for c in PROSPECT_COLUMNS
+                   if c not in ("desired_beds", "building_name", "unit_name", "desired_history")]
+APPLICANT_FILLED = [*APPLICANT_COLUMNS[1:], *[c for c in APPLICANT_COLUMNS_2 if c != "has_permanent_subsidy"],
+                    *APPLICANT_COLUMNS_3]
+
+
+def filled(key: Column, columns: list[str]) -> list[Column]:
+    """A text for each column, another for (almost) each row, null in every tenth."""
+    return [F.when((key + j) % 10 != 0, F.concat(F.lit(f"{c}-"), ((key * 7 + j) % 97).cast("string"))).alias(c)
+            for j, c in enumerate(columns)]
+
+
+def registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``people`` as they registered: some without a first name, some under
+    names that the showing query leaves out, and every 13th a second time."""
+    k = F.col("id")
+    p = people(spark, sf_dir).withColumns({
+        "first_name": F.when(k % 37 == 0, F.lit("")).when(k % 29 == 0, F.concat(F.lit("Urist"), "first_name"))
+                       .otherwise(F.col("first_name")),
+        "last_name": F.when(k % 31 == 0, F.concat("last_name", F.lit(" Latest"))).otherwise(F.col("last_name"))})
+    again = p.where(k % 13 == 0).withColumns({
+        "id": k + AGAIN,
+        "created_at": F.timestamp_add("DAY", F.when(k % 3 == 0, F.lit(-3)).otherwise(F.lit(3)), F.col("created_at"))})
+    return p.unionByName(again)
+
+
 def _shift(c, days: int = LEASE_SHIFT_DAYS):
     return F.timestamp_add("DAY", F.lit(days), F.col(c))
 
 
 def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    everyone = registered(spark, sf_dir)
     p = people(spark, sf_dir)
     c = table(spark, sf_dir, "customer")
     o = table(spark, sf_dir, "orders")
     e = table(spark, sf_dir, "events")
     k = F.col("id")
 
-    customers = p.select(
+    customers = everyone.select(
         "id", (k + 100000).alias("pw_id"), "first_name", "last_name", "home_phone",
         "mobile_phone", "work_phone", "email",
         F.date_add(F.lit("1970-01-01").cast("date"), (k % 15000).cast("int")).alias("dob"),
@@ -60,13 +92,13 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.concat(F.lit("U"), F.floor(k / 3).cast("string")).alias("unit_name"),
         F.concat(F.lit("B"), F.floor(k / 15).cast("string")).alias("building_name"),
         (k % 4).alias("desired_beds"), F.timestamp_add("DAY", F.lit(1), F.col("created_at")).alias("updated_at"),
-        F.when(k % 6 == 0, F.lit("S8")).alias("subsidy_type"))
+        F.when(k % 4 == 0, F.lit("S8")).alias("subsidy_type"))
     older = p.filter(k % 3 == 0).select(
         (k + 1_000_000_000).alias("id"), k.alias("customer_id"), k.alias("desired_unit"),
         F.lit(None).cast("string").alias("desired_history"), F.lit("U0").alias("unit_name"),
         F.lit("B0").alias("building_name"), F.lit(1).cast("long").alias("desired_beds"),
         F.col("created_at").alias("updated_at"), F.lit(None).cast("string").alias("subsidy_type"))
-    prospects = prospects.unionByName(older)
+    prospects = prospects.unionByName(older).select("*", *filled(k, PROSPECT_FILLED))
 
     ck = F.col("c_custkey")
     applicants = c.filter(F.col("c_acctbal") < 5000).join(
@@ -79,7 +111,9 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (ck % 11 == 0).alias("has_permanent_subsidy"),
         F.col("c_acctbal").alias("monthly_income_amount"),
         F.when(ck % 4 == 0, F.col("c_acctbal") / 10).alias("second_income_amount"),
-        (ck % 3).cast("int").alias("number_occupants_over_eighteen"))
+        (ck % 3).cast("int").alias("number_occupants_over_eighteen"), *filled(ck, APPLICANT_FILLED))
+    applicants = applicants.unionByName(applicants.where(k % 26 == 0).withColumns({
+        "id": k + AGAIN, "customer_id": F.col("customer_id") + AGAIN, "prospect_id": F.lit(None).cast("long")}))
 
     apps_o = o.filter(pri == "4-NOT SPECIFIED")
     applications = apps_o.select(
@@ -91,7 +125,9 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     own = apps_o.select(F.col("o_custkey").alias("applicant_id"), ok.alias("application_id"))
     co = apps_o.filter(ok % 7 == 0).select(
         F.col("o_custkey").bitwiseXOR(F.lit(1)).alias("applicant_id"), ok.alias("application_id"))
-    applicants_applications = own.unionByName(co).join(app_ids, "applicant_id", "left_semi")
+    second = apps_o.filter(F.col("o_custkey") % 26 == 0).select(
+        (F.col("o_custkey") + AGAIN).alias("applicant_id"), ok.alias("application_id"))
+    applicants_applications = own.unionByName(co).unionByName(second).join(app_ids, "applicant_id", "left_semi")
     applications_cosigners = applicants_applications.filter(F.col("application_id") % 11 == 0)
     applications_occupants = c.filter(ck % 17 == 0).select(
         ck.alias("customer_id"), ck.alias("application_id"))

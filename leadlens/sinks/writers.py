@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+from leadlens.operators.position import with_position
+from leadlens.sinks.committed import Version, commit
+
 # Fixed values of the reference's text transport: NULL is written as an
 # empty field and only the two-letter text "NA" reads back as NULL; the
 # delimiter is ";" with no header.
@@ -22,6 +25,7 @@ def write_table(df: DataFrame, name: str | None = None, *, path: str | None = No
 
     An absent table is created. Overwriting a path or a table removes the old
     data first: a job that fails halfway leaves it empty, and a rerun fills it.
+    ``sinks.committed`` replaces tables without that gap.
     """
     w = df.write.mode(mode).format(fmt)
     if partition_by:
@@ -44,24 +48,45 @@ def to_text_table(df: DataFrame) -> DataFrame:
     return df.select(out)
 
 
-def write_delimited(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK4: ';'-delimited, no header, NULL and '' both written empty."""
-    df.write.mode(mode).option("sep", DELIMITER).option("header", "false") \
-        .option("nullValue", "").option("emptyValue", "").csv(path)
+# Quotes are doubled, and blanks at the ends of a field are part of it.
+_CSV = {"sep": DELIMITER, "header": "false", "quote": '"', "escape": '"',
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def write_report(frames: Mapping[str, DataFrame], root: str, *, fmt: str = "csv",
-                 mode: str = "overwrite") -> dict[str, str]:
-    """SNK5: a multi-result report, one folder per named result."""
-    out = {}
-    for name, df in frames.items():
-        p = f"{root.rstrip('/')}/{name}"
-        w = df.write.mode(mode).format(fmt)
-        if fmt == "csv":
-            w = w.option("header", "true")
-        w.save(p)
-        out[name] = p
-    return out
+def write_delimited(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """SNK4: ';'-delimited, no header, NULL and '' both written empty."""
+    df.write.mode(mode).options(**_CSV).option("nullValue", "").option("emptyValue", "").csv(path)
+
+
+def read_delimited(spark: SparkSession, path: str, schema: str | Ty.StructType,
+                   multi_line: bool = False) -> DataFrame:
+    """SNK4 read back by ``schema``: an empty field is '' in a text column and
+    NULL in any other; only the text NA is NULL in a text column (and in others).
+    ``multi_line`` is for fields with line breaks, which the cleaning step of a
+    refresh removes; such a file is read by one task."""
+    schema = Ty.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = Ty.StructType([Ty.StructField(f.name, Ty.StringType()) for f in schema.fields])
+    raw = spark.read.schema(text).options(**_CSV, multiLine=str(multi_line).lower(), mode="FAILFAST",
+                                          nullValue="\u0001").csv(path)
+    out = []
+    for f in schema.fields:
+        cell = F.coalesce(F.col(f.name), F.lit(""))
+        value = F.when(cell != F.lit(NULL_MARKER), cell)
+        if not isinstance(f.dataType, Ty.StringType):
+            value = F.nullif(value, F.lit("")).cast(f.dataType)
+        out.append(value.alias(f.name))
+    return raw.select(out)
+
+
+def write_report(spark: SparkSession, root: str, frames: Mapping[str, DataFrame],
+                 orders: Mapping[str, Sequence[str | Column]], *, fmt: str = "csv") -> Version:
+    """SNK5: a report of several sheets, one folder each, committed together.
+
+    Rows are numbered in their sheet's order (column ``position``) and written
+    in ranges of it, so the files, one after the other, are in order too."""
+    sheets = {name: with_position(df, orders[name]).select("position", *df.columns).orderBy("position")
+              for name, df in frames.items()}
+    return commit(spark, root, sheets, fmt=fmt, options={"header": "true"} if fmt == "csv" else None)
 
 
 def sql_types(df: DataFrame) -> dict[str, str]:

@@ -3,29 +3,23 @@
 A report document is ``{"columns": [{"index": i, "label": "..."}, ...],
 "records": [[cell, ...], ...]}`` (records may also be objects keyed by the
 column index). One document is one file; Spark reads each file whole
-(``wholetext``), parses it with ``from_json`` (tolerating the backslash
-escapes the reference repairs by hand) and explodes the records, so many
-report files are parsed in parallel and only the small header of one
-document is read on the driver to name the columns.
+(``wholetext``), repairs its escapes and parses it once into a VARIANT, so many
+report files are parsed in parallel. Every record is read by the header of its
+own document: documents may order their columns differently, number them
+differently, or lack some; a column that a document lacks is NULL in its rows.
+Only the distinct headers reach the driver, to name the columns.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as Ty
-
-HEADER = Ty.StructType([
-    Ty.StructField("index", Ty.IntegerType()), Ty.StructField("label", Ty.StringType())])
-DOC_ARRAY = Ty.StructType([
-    Ty.StructField("columns", Ty.ArrayType(HEADER)),
-    Ty.StructField("records", Ty.ArrayType(Ty.ArrayType(Ty.StringType())))])
-DOC_OBJECT = Ty.StructType([
-    Ty.StructField("columns", Ty.ArrayType(HEADER)),
-    Ty.StructField("records", Ty.ArrayType(Ty.MapType(Ty.StringType(), Ty.StringType())))])
-JSON_OPTIONS = {"allowBackslashEscapingAnyCharacter": "true", "mode": "PERMISSIVE"}
+
+HEADER = "array<struct<index: int, label: string>>"
+# Fixed values of JSON: the characters that a backslash may stand before.
+_ESCAPES = r'(\\["\\/bfnrtu])|\\(.)'
 
 # Fixed values of the reference's label rule: runs of non-word characters or
 # underscores are removed; a label starting with a digit gets a "_" prefix;
@@ -56,8 +50,14 @@ def sanitize_columns(labels: list[str], lower: bool = True) -> list[str]:
     return names
 
 
+def repair_escapes(text: Column) -> Column:
+    r"""SRC3: a backslash before a character that JSON doesn't escape (``\'``,
+    ``\>``) is dropped; legal escapes, ``\\`` among them, are stepped over."""
+    return F.regexp_replace(text, _ESCAPES, "$1$2")
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per report file: (path, doc) where doc holds columns and records."""
+    """One row per report file: path, modified, columns and records."""
     raw = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("modified"), "value")
@@ -65,38 +65,64 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_documents(raw: DataFrame, value: str = "value") -> DataFrame:
-    arr = F.from_json(F.col(value), DOC_ARRAY, JSON_OPTIONS)
-    obj = F.from_json(F.col(value), DOC_OBJECT, JSON_OPTIONS)
-    return raw.select("*", arr.alias("doc_a"), obj.alias("doc_o")).drop(value)
+    """SRC2: ``columns`` (index and label of each) and ``records`` (VARIANT) in
+    place of ``value``; both are NULL where the text is no such document."""
+    rest = [c for c in raw.columns if c != value]
+    doc = raw.select(*rest, F.try_parse_json(repair_escapes(F.col(value))).alias("doc"))
+    return doc.select(*rest, F.try_variant_get("doc", "$.columns", HEADER).alias("columns"),
+                      F.try_variant_get("doc", "$.records", "array<variant>").alias("records"))
+
+
+def headers_of(docs: DataFrame) -> list[list[tuple[int, str]]]:
+    """The distinct (index, label) headers, that of the newest document first."""
+    seen = (docs.where(F.col("columns").isNotNull())
+            .groupBy(F.array_sort("columns").alias("columns"))
+            .agg(F.max(F.struct("modified", "path")).alias("last")).collect())
+    if not seen:
+        raise ValueError("no parsable report document")
 
+    def age(row):
+        modified, path = row["last"]
+        return (modified is not None, modified or 0, path)
+    return [[(h["index"], h["label"]) for h in row["columns"]] for row in sorted(seen, key=age, reverse=True)]
 
-def header_of(docs: DataFrame) -> list[tuple[int, str]]:
-    """The (index, label) header of the newest document (a few rows)."""
-    row = docs.orderBy(F.col("modified").desc_nulls_last(), F.col("path").desc()) \
-              .select(F.coalesce(F.col("doc_a.columns"), F.col("doc_o.columns")).alias("h")) \
-              .first()
-    if row is None or row["h"] is None:
-        raise ValueError("no parsable report document")
-    return sorted((h["index"], h["label"]) for h in row["h"])
 
+def column_names(headers: list[list[tuple[int, str]]], lower: bool = True) -> list[str]:
+    """The sanitised names of all headers in order of their first appearance."""
+    names: dict[str, None] = {}
+    for header in headers:
+        names.update(dict.fromkeys(sanitize_columns([label for _, label in header], lower)))
+    return list(names)
 
-def records(docs: DataFrame, header: list[tuple[int, str]], lower: bool = True,
-            partitions: int | None = None) -> DataFrame:
-    """Explode records into columns named by the sanitised labels.
 
-    Array records are read by position (header ``index``), object records by
-    key. After the explode, rows are spread over ``partitions`` tasks (one
-    document is otherwise one task).
+def _name(label: Column, lower: bool) -> Column:
+    """``sanitize_label`` as a column expression."""
+    s = F.regexp_replace(label, "(?U)" + LABEL_DROP.pattern, "")
+    s = F.when(s.rlike(r"^\p{Nd}"), F.concat(F.lit("_"), s)).otherwise(s)
+    return F.lower(s) if lower else s
+
+
+def records(docs: DataFrame, names: list[str] | None = None, lower: bool = True,
+            partitions: int | None = None) -> DataFrame:
+    """SRC4: one row per record, with the columns ``names`` (by default all that
+    any document has). Each cell is found through its own document's labels.
+    After the explode, rows are spread over ``partitions`` tasks (one document
+    is otherwise one task).
     """
-    names = sanitize_columns([lab for _, lab in header], lower)
-    arr_rows = docs.filter(F.col("doc_a.records").isNotNull()) \
-                   .select(F.explode("doc_a.records").alias("rec"))
-    arr_cols = [F.col("rec")[i].alias(n) for (i, _), n in zip(header, names)]
-    obj_rows = docs.filter(F.col("doc_a.records").isNull() & F.col("doc_o.records").isNotNull()) \
-                   .select(F.explode("doc_o.records").alias("rec"))
-    obj_cols = [F.col("rec")[str(i)].alias(n) for (i, _), n in zip(header, names)]
-    out = arr_rows.select(*arr_cols).unionByName(obj_rows.select(*obj_cols))
-    return out.repartition(partitions) if partitions else out
+    if names is None:
+        names = column_names(headers_of(docs), lower)
+    places = F.map_from_entries(F.transform("columns", lambda h: F.struct(_name(h["label"], lower), h["index"])))
+    rows = (docs.where(F.col("columns").isNotNull())
+            .select(places.alias("places"), F.explode("records").alias("record"))
+            .select("places", F.try_variant_get("record", "$", "array<string>").alias("cells"),
+                    F.try_variant_get("record", "$", "map<string,string>").alias("named")))
+    if partitions:
+        rows = rows.repartition(partitions)
+    out = []
+    for name in names:
+        at = F.element_at("places", F.lit(name))
+        out.append(F.coalesce(F.get("cells", at), F.element_at("named", at.cast("string"))).alias(name))
+    return rows.select(out)
 
 
 def read_report(spark: SparkSession, path: str, *, newest_only: bool = True,
@@ -104,14 +130,14 @@ def read_report(spark: SparkSession, path: str, *, newest_only: bool = True,
     """SRC2-SRC5: the records of the report(s) under ``path`` as a text frame.
 
     A feed refresh replaces the table with the newest report, so by default
-    only the newest document is read; ``newest_only=False`` unions every
-    document that shares the newest header.
+    only the newest document is read; ``newest_only=False`` unions all
+    documents, each read by its own header.
     """
-    # Documents are read twice (header, then records) rather than cached:
+    # Documents are read twice (headers, then records) rather than cached:
     # a report can be large and the second read is a plain file scan.
     docs = read_documents(spark, path)
-    header = header_of(docs)
     if newest_only:
-        newest = docs.agg(F.max_by("path", F.struct("modified", "path")).alias("p")).first()["p"]
+        newest = docs.where(F.col("columns").isNotNull()) \
+                     .agg(F.max_by("path", F.struct("modified", "path")).alias("p")).first()["p"]
         docs = docs.filter(F.col("path") == newest)
-    return records(docs, header, lower, partitions)
+    return records(docs, None, lower, partitions)
