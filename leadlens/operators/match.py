@@ -14,6 +14,13 @@ one side and every distinct 10-character slice of the haystack on the other
 side: if ``p`` (>= 10 chars) occurs in ``h`` then ``p[:10]`` is one of
 ``h``'s slices. Candidates are then verified with the exact predicate.
 
+Slices of a haystack that no needle begins with are screened out before the
+shuffle: the needles' keys set bits in a bounded table, which is broadcast, and a
+slice whose bit isn't set has no partner. Names that hold very
+many rows are dealt out: the rows of the side that holds them go to parts by a
+hash of their id, the other side's rows to each of the parts, so that no task
+reads such a name alone.
+
 For anti and semi joins (existence only) the right side is first reduced to
 distinct (names, needle, haystack length) or (names, haystack) values with
 the smallest and largest right id, so the work grows with distinct phone
@@ -28,8 +35,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.functions.text import MIN_PHONE_LEN
+from leadlens.operators.screen import screen, screened
 
 SLICE = MIN_PHONE_LEN  # block key length; must not exceed the phone minimum
+HOT_ROWS = 100_000         # of one name and side; more are dealt out
+HOT_NAMES, HOT_PARTS = 1000, 64      # at most
+COUNT_ONE_IN = 16          # rows counted to find such names; a matter of layout alone
 
 
 def _slices(h: Column) -> Column:
@@ -249,6 +260,40 @@ def _explode_slices(df: DataFrame, hay: str) -> DataFrame:
     return df.select("*", F.explode(_slices(F.col(hay))).alias("_k"))
 
 
+def _screened(slices: DataFrame, needles: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Slices whose key some needle may have (never fewer than have one)."""
+    return screened(slices, keys, screen(needles, keys))
+
+
+def _hot_names(names: Sequence[str], left: DataFrame, left_id: str, right: DataFrame | None = None,
+               right_id: str | None = None) -> DataFrame:
+    """Names with more than ``HOT_ROWS`` rows of a side, and the number of parts
+    that each side's rows are dealt into."""
+    def counted(df, id_col, side):
+        some = F.pmod(F.xxhash64(id_col), F.lit(COUNT_ONE_IN)) == 0
+        return df.where(some).select(*names, *[F.lit(int(s == side)).alias(s) for s in ("_l", "_r")])
+    rows = counted(left, left_id, "_l")
+    if right is not None:
+        rows = rows.unionByName(counted(right, right_id, "_r"))
+    most = HOT_ROWS / COUNT_ONE_IN
+    parts = lambda c: F.greatest(F.lit(1), F.least(F.lit(HOT_PARTS), F.ceil(F.col(c) / most))).cast("int")
+    return (rows.groupBy(*names).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+            .where(F.greatest("_l", "_r") > most).orderBy(F.desc(F.greatest("_l", "_r"))).limit(HOT_NAMES)
+            .select(*names, parts("_l").alias("_lparts"), parts("_r").alias("_rparts")))
+
+
+def _dealt_join(a: DataFrame, a_id: str, b: DataFrame, b_id: str | None, names: Sequence[str],
+                hot: DataFrame) -> DataFrame:
+    """Join of ``a`` (left) and ``b`` on names and ``_k``, hot names dealt out."""
+    hot = F.broadcast(hot)                                  # HOT_NAMES rows at most
+    lparts, rparts = F.coalesce("_lparts", F.lit(1)), F.coalesce("_rparts", F.lit(1))
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    own = lambda id_col, n: F.pmod(F.xxhash64(id_col), n).cast("int") if id_col else F.lit(0)
+    a = a.join(hot, list(names), "left").select(*a.columns, own(a_id, lparts).alias("_lp"), each(rparts).alias("_rp"))
+    b = b.join(hot, list(names), "left").select(*b.columns, own(b_id, rparts).alias("_rp"), each(lparts).alias("_lp"))
+    return a.join(b, on=[*names, "_k", "_lp", "_rp"], how="inner")
+
+
 def _first_hit(phones: Sequence[str], pos_col: str, hay: Column) -> Column:
     """True when no phone before position ``pos_col`` also occurs in ``hay``.
 
@@ -274,22 +319,26 @@ def _pairs(s: _Sides, direction, exclude_self, pair_filter, pair_columns,
     lc, rc = F.col(s.lc), F.col(s.r(s.rc))
     rkeys = {rn: ln for ln, rn in zip(s.l_names, s.r_names)}
 
+    def renamed(df: DataFrame) -> DataFrame:
+        return df.select([F.col(c).alias(rkeys.get(c, c)) for c in df.columns])
+
+    hot = _hot_names(s.l_names, L, s.lid, renamed(R), s.r(s.rid))
+
     def key_join(a: DataFrame, b: DataFrame) -> DataFrame:
-        b = b.select([F.col(c).alias(rkeys.get(c, c)) for c in b.columns])
-        return a.join(b, on=keys, how="inner")
+        return _dealt_join(a, s.lid, b, s.r(s.rid), s.l_names, hot)
 
     branches = []
     # Branch B: a left phone occurs in the right haystack.
     lb = _explode_needles(L, s.lph)
-    rb = _explode_slices(R, s.r(s.rc))
+    rb = _screened(renamed(_explode_slices(R, s.r(s.rc))), lb, keys)
     cond = F.contains(rc, F.col("_needle")) & _first_hit(s.lph, "_pos", rc)
     if direction == "longer":
         cond = cond & (F.length(lc) < F.length(rc))
     branches.append(key_join(lb, rb).filter(cond))
     if direction == "longer":
         # Branch A: a right phone occurs in the left haystack.
-        la = _explode_slices(L, s.lc)
-        ra = _explode_needles(R, [s.r(p) for p in s.rph])
+        ra = renamed(_explode_needles(R, [s.r(p) for p in s.rph]))
+        la = _screened(_explode_slices(L, s.lc), ra, keys)
         cond = F.contains(lc, F.col("_needle")) & (F.length(lc) >= F.length(rc)) & \
             _first_hit([s.r(p) for p in s.rph], "_pos", lc)
         branches.append(key_join(la, ra).filter(cond))
@@ -323,18 +372,20 @@ def _matched_left_ids(s: _Sides, direction, exclude_self) -> DataFrame:
         return (F.col(min_id) != F.col(s.lid)) | (F.col(max_id) != F.col(s.lid))
 
     hits = []
+    keys = [*s.l_names, "_k"]
+    hot = _hot_names(s.l_names, L, s.lid)
     # Branch B: left phone inside a right haystack. Reduce right to distinct
     # haystacks per name with the smallest and largest id holding it.
     rh = (R.select(*names_r, F.col(s.rc).alias("_hay"), F.col(s.rid).alias("_rid"))
            .filter(F.length("_hay") >= SLICE)
            .groupBy(*names_r, "_hay")
            .agg(F.min("_rid").alias("_min_id"), F.max("_rid").alias("_max_id")))
-    rh = as_left_names(_explode_slices(rh, "_hay"))
     lb = _explode_needles(L, s.lph)
+    rh = _screened(as_left_names(_explode_slices(rh, "_hay")), lb, keys)
     cond = F.contains(F.col("_hay"), F.col("_needle")) & other_exists("_min_id", "_max_id")
     if direction == "longer":
         cond = cond & (F.length(lc) < F.length("_hay"))
-    hits.append(lb.join(rh, on=[*s.l_names, "_k"], how="inner").filter(cond).select(s.lid))
+    hits.append(_dealt_join(lb, s.lid, rh, None, s.l_names, hot).filter(cond).select(s.lid))
     if direction == "longer":
         # Branch A: right phone inside the left haystack. Reduce right to
         # distinct (name, phone, haystack length).
@@ -343,10 +394,10 @@ def _matched_left_ids(s: _Sides, direction, exclude_self) -> DataFrame:
         rn = (rn.groupBy(*names_r, "_needle", "_k", "_rlen")
                 .agg(F.min("_rid").alias("_min_id"), F.max("_rid").alias("_max_id")))
         rn = as_left_names(rn)
-        la = _explode_slices(L, s.lc)
+        la = _screened(_explode_slices(L, s.lc), rn, keys)
         cond = F.contains(lc, F.col("_needle")) & (F.length(lc) >= F.col("_rlen")) & \
             other_exists("_min_id", "_max_id")
-        hits.append(la.join(rn, on=[*s.l_names, "_k"], how="inner").filter(cond).select(s.lid))
+        hits.append(_dealt_join(la, s.lid, rn, None, s.l_names, hot).filter(cond).select(s.lid))
     res = hits[0]
     for h in hits[1:]:
         res = res.unionByName(h)
@@ -380,22 +431,24 @@ def containment_min(left: DataFrame, right: DataFrame, *, on: Sequence, left_id:
         return df.select([F.col(c).alias(rename.get(c, c)) for c in df.columns])
 
     hits = []
+    keys = [*s.l_names, "_k"]
+    hot = _hot_names(s.l_names, L, s.lid)
     rh = (right.select(*names_r, F.col(s.rc).alias("_hay"), F.col(value).alias("_v"))
                .filter(F.length("_hay") >= SLICE).groupBy(*names_r, "_hay")
                .agg(agg("_v").alias("_v")))
-    rh = as_left_names(_explode_slices(rh, "_hay"))
+    lb = _explode_needles(L, s.lph)
+    rh = _screened(as_left_names(_explode_slices(rh, "_hay")), lb, keys)
     cond = F.contains(F.col("_hay"), F.col("_needle"))
     if direction == "longer":
         cond = cond & (F.length(lc) < F.length("_hay"))
-    hits.append(_explode_needles(L, s.lph).join(rh, on=[*s.l_names, "_k"], how="inner")
-                .filter(cond).select(s.lid, "_v"))
+    hits.append(_dealt_join(lb, s.lid, rh, None, s.l_names, hot).filter(cond).select(s.lid, "_v"))
     if direction == "longer":
         rn = _explode_needles(right.select(*names_r, *s.rph, F.col(value).alias("_v"),
                                            F.length(s.rc).alias("_rlen")), s.rph)
         rn = as_left_names(rn.groupBy(*names_r, "_needle", "_k", "_rlen").agg(agg("_v").alias("_v")))
         cond = F.contains(lc, F.col("_needle")) & (F.length(lc) >= F.col("_rlen"))
-        hits.append(_explode_slices(L, s.lc).join(rn, on=[*s.l_names, "_k"], how="inner")
-                    .filter(cond).select(s.lid, "_v"))
+        la = _screened(_explode_slices(L, s.lc), rn, keys)
+        hits.append(_dealt_join(la, s.lid, rn, None, s.l_names, hot).filter(cond).select(s.lid, "_v"))
     res = hits[0]
     for h in hits[1:]:
         res = res.unionByName(h)

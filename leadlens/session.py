@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: list[str] = []           # folders of cut_lineage
+
+
 def build_session(master: str | None = None, app: str = "leadlens",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -42,15 +45,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster must name one. Only on a local master that names none, as in
-    tests, a folder is made and entered in the session's settings.
+    tests, a folder is made, and the context remembers it.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not d:
-        if spark.sparkContext.master.split("[")[0] != "local":
+        if context.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        d = tempfile.mkdtemp(prefix="leadlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="leadlens-ckpt-"))
+        d = context.getCheckpointDir()
+    return d.rstrip("/")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what ``cut_lineage`` has written in this process; results that
+    read it must have been used before. The number of tables deleted."""
+    n = len(_written)
+    while _written:
+        delete_folder(spark, _written.pop())
+    return n
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -63,6 +81,7 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     survives executor loss because it lives in the cluster's shared folder.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/leadlens-{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/leadlens-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    _written.append(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from leadlens.operators import match
 from leadlens.operators.match import containment_join
 
 SCHEMA = "id long, fn string, ln string, m string, h string, w string, c string, p boolean, d date"
@@ -98,3 +99,44 @@ def test_containment_min_equals_min_over_pairs(spark, seed, direction):
                              right_combined="c", how="inner", direction=direction, blocked=False)
     want = pairs.groupBy("id").agg(F.min("r_id").alias("m"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.fixture
+def small_parts(monkeypatch):
+    for name, value in {"HOT_ROWS": 6, "HOT_PARTS": 4, "COUNT_ONE_IN": 1}.items():
+        monkeypatch.setattr(match, name, value)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
+def test_names_dealt_over_parts_give_the_same(spark, small_parts, how):
+    p = people(spark, rand_rows(5, 90))
+    for kw in ({}, {"exclude_self": True}, {"exclude_self": True, "right_filter": F.col("p")},
+               {"direction": "l_in_r"}):
+        assert run(spark, p, p, how, True, **kw) == run(spark, p, p, how, False, **kw), kw
+
+
+def test_an_identity_with_a_third_of_the_rows_meets_in_no_single_task(spark, monkeypatch):
+    monkeypatch.setattr(match, "HOT_ROWS", 100)
+    monkeypatch.setattr(match, "COUNT_ONE_IN", 1)
+    rows = [(i, "hot" if i % 3 == 0 else f"n{i}", "z", "3125550001" if i % 3 == 0 else f"312{i:07d}", None, None, False, None)
+            for i in range(3000)]
+    p = people(spark, rows)
+    hot = match._hot_names(["fn", "ln"], p, "id", p, "id")
+    assert [(r.fn, r._lparts, r._rparts) for r in hot.collect()] == [("hot", 10, 10)]
+    a = match._explode_needles(p, PH)
+    b = match._explode_slices(p.select("fn", "ln", "c", F.col("id").alias("r_id")), "c")
+    met = match._dealt_join(a, "id", b, "r_id", ["fn", "ln"], hot).where("fn = 'hot'")
+    assert met.count() == 1000 * 1000
+    parts = met.groupBy("_lp", "_rp").agg(F.count_distinct("id").alias("l"), F.count_distinct("r_id").alias("r")).collect()
+    assert len(parts) == 100 and max(max(x.l, x.r) for x in parts) < 200      # a tenth of each side, about
+    assert run(spark, p, p, "left_semi", True, exclude_self=True) == [(i,) for i in range(0, 3000, 3)]
+
+
+def test_slices_without_a_needle_are_screened_out(spark):
+    from leadlens.operators.screen import screen, screened
+    needles = spark.range(500).select(F.col("id").cast("string").alias("fn"), F.lpad("id", 10, "0").alias("_k"))
+    slices = spark.range(50_000).select(F.col("id").cast("string").alias("fn"), F.lpad("id", 10, "0").alias("_k"))
+    kept = screened(slices, ["fn", "_k"], screen(needles, ["fn", "_k"]))
+    assert kept.join(needles, ["fn", "_k"]).count() == 500 and kept.count() < 520
+    assert screened(slices, ["fn", "_k"], screen(needles, ["fn", "_k"], 4), 4).count() > 40_000      # full, but complete
+    assert screened(slices, ["fn", "_k"], screen(needles.where("false"), ["fn", "_k"])).count() == 0
