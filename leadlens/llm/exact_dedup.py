@@ -11,12 +11,15 @@ tab, form feed and carriage return. Of equal texts the row with the most code
 points stays, then the one with the smallest id (a null id comes last).
 
 Defined cases: a null text counts as empty; empty texts form one group; rows
-that repeat an id together with its text each count in ``group_size`` and
-share the verdict of that id; an empty table gives an empty result; columns
-besides id and text are not read.
-
-Scale: a text is read once for its digest and is never shuffled unless its
-group spans snapshot and batch (then two texts a group are). Groups are
+that repeat an id together with its text can't be told apart, each counts in
+``group_size`` and they share their verdict; of rows that repeat an id with
+another text of the same group, only the one that stays is kept; an empty
+table gives an empty result; columns besides id and text are not read.
+
+Scale: a text is read once for its digest, and once more to be compared if its
+group spans snapshot and batch (then two texts a group are). Only texts whose id
+passes a screen of the wanted ids move, whatever else the table holds; the
+screen is a table of bits, ``SCREEN_WORDS`` rows at most. Groups are
 pre-aggregated on the map side, so a group that holds a third of all rows
 sends one row a task; the last join back to the rows is a plain equi-join
 whose hot partitions adaptive execution splits.
@@ -30,8 +33,11 @@ from pyspark.sql import functions as F
 
 from leadlens.llm import fuse_filter
 from leadlens.llm.tables import Scratch, narrowed, row_key
+from leadlens.operators.screen import screen as bit_screen
+from leadlens.operators.screen import screened
 
 KEYS_PER_SHARD = 250_000
+SCREEN_WORDS = 1 << 20     # of 64 bits
 BLANKS = " \t\n\x0b\x0c\r"
 _BUCKET = ["sha", "d64"]
 
@@ -43,14 +49,14 @@ def normalised(text: Column) -> Column:
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     norm = normalised(F.col("__text"))
     return narrowed(docs, id_col, text_col).select(
-        F.col("__id").alias("id"), row_key(F.col("__id"), F.col("__text")).alias("key"), F.sha2(F.encode(norm, "UTF-8"), 256).alias("sha"),
-        F.xxhash64(norm).alias("d64"), F.length("__text").cast("long").alias("n_points"))
+        F.col("__id").alias("id"), row_key(F.col("__id"), F.col("__text")).alias("key"),
+        F.sha2(F.encode(norm, "UTF-8"), 256).alias("sha"), F.xxhash64(norm).alias("d64"), F.length("__text").cast("long").alias("n_points"))
 
 
 def buckets(digested: DataFrame) -> DataFrame:
     """One row per distinct text: rows and the order struct of the row that stays."""
     best = F.min(F.struct((-F.col("n_points")).alias("less"), F.col("id").isNull().alias("no_id"),
-                          F.col("id")))
+                          F.col("id"), F.col("key")))
     return digested.groupBy(*_BUCKET).agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
 
 
@@ -82,12 +88,12 @@ def screen(batch: DataFrame, filter_rows: DataFrame, shards: int) -> DataFrame:
             .applyInPandas(probe, "d64 long").distinct())
 
 
-def same_bytes(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``sha`` of the joined buckets whose two texts are byte for byte equal."""
-    wanted = pairs.select("sha", F.explode(F.array("old_id", "new_id")).alias("id"))
-    norm = normalised(F.col("__text"))
-    texts = narrowed(docs, id_col, text_col).select(
-        F.col("__id").alias("t_id"), norm.alias("norm"))
+def same_bytes(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``sha`` of the joined buckets whose two texts are byte for byte equal;
+    ``wanted`` has the sha and the id of both rows of each."""
+    texts = screened(narrowed(docs, id_col, text_col).withColumnRenamed("__id", "t_id"), ["t_id"],
+                     bit_screen(wanted, ["id"], SCREEN_WORDS), SCREEN_WORDS)
+    texts = texts.select("t_id", normalised(F.col("__text")).alias("norm"))
     return (texts.join(wanted, F.col("t_id").eqNullSafe(F.col("id")))
             .where(F.sha2(F.encode("norm", "UTF-8"), 256) == F.col("sha"))
             .groupBy("sha").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
@@ -111,13 +117,14 @@ def dedup(docs: DataFrame, is_new: Column, id_col: str = "doc_id", text_col: str
     pairs = (new.join(positive, "d64", "left_semi")
              .select(*_BUCKET, F.col("best.id").alias("new_id"))
              .join(old.select(*_BUCKET, F.col("best.id").alias("old_id")), _BUCKET))
-    joined = work.write(same_bytes(pairs, docs, id_col, text_col), "joined").withColumn("one", F.lit(True))
+    wanted = work.write(pairs.select("sha", F.explode(F.array("old_id", "new_id")).alias("id")), "wanted")
+    joined = work.write(same_bytes(wanted, docs, id_col, text_col), "joined").withColumn("one", F.lit(True))
     groups = (both.join(joined, "sha", "left")
               .withColumn("part", F.when(F.col("one"), F.lit(2)).otherwise(F.col("side")))
               .groupBy("sha", "part").agg(F.sum("n").alias("group_size"), F.min("best").alias("best"))
-              .select("sha", "group_size", F.col("best.id").alias("keep_id"),
+              .select("sha", "group_size", F.col("best.id").alias("keep_id"), F.col("best.key").alias("keep_key"),
                       F.explode(F.when(F.col("part") == 2, F.array(F.lit(0), F.lit(1)))
                                 .otherwise(F.array("part"))).alias("side")))
     return (rows.join(groups, ["sha", "side"])
             .select("id", "key", "sha", "keep_id", "group_size",
-                    F.col("id").eqNullSafe(F.col("keep_id")).alias("kept")))
+                    (F.col("key") == F.col("keep_key")).alias("kept")))

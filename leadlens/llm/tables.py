@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadlens.session import checkpoint_dir, delete_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -32,21 +33,13 @@ class Scratch:
     """Intermediate Parquet tables in the folder named by
     ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where that setting is empty (tests on a local master) a temporary
-    folder is chosen. Tables that nothing reads any more are dropped with
-    :meth:`drop`; those behind a returned result stay until its owner clears
-    the checkpoint folder.
+    Tables that nothing reads any more are dropped with :meth:`drop`; those
+    behind a returned result stay until its owner clears the checkpoint folder.
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            if not spark.sparkContext.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-            base = tempfile.mkdtemp(prefix="llm-scratch-")
-            spark.conf.set("spark.checkpoint.dir", base)
         self.spark = spark
-        self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.root = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -57,6 +50,4 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(self.spark, self.path(name))

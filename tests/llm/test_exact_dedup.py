@@ -25,6 +25,23 @@ def test_any_split_into_snapshot_and_batch_gives_the_same_groups(spark, split):
     assert rows_of(done, "id", "sha", "keep_id", "group_size", "kept") == expected(texts())
 
 
+def test_rows_that_repeat_an_id_with_another_text(spark):
+    rows = [(1, "a b"), (1, "ab"), (2, "ab"), (3, "x"), (3, "x"), (4, "x "), (None, "ab"), (5, "other"), (5, "texts")]
+    done = exact_dedup.dedup(documents(spark, rows), F.coalesce(F.col("id") % 2 == 1, F.lit(False)))
+    texts_of = documents(spark, rows).select(exact_dedup.row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").distinct()
+    got = sorted(((r["text"], r["id"], r["keep_id"], r["group_size"], r["kept"]) for r in done.join(texts_of, "key").collect()),
+                 key=repr)
+    assert got == sorted([("a b", 1, 1, 4, True), ("ab", 1, 1, 4, False), ("ab", 2, 1, 4, False), ("ab", None, 1, 4, False),
+                          ("x", 3, 4, 3, False), ("x", 3, 4, 3, False), ("x ", 4, 4, 3, True),
+                          ("other", 5, 5, 1, True), ("texts", 5, 5, 1, True)], key=repr)
+
+
+def test_a_full_screen_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "SCREEN_WORDS", 1)
+    done = exact_dedup.dedup(documents(spark), F.coalesce(F.expr("id % 2 = 1"), F.lit(False)))
+    assert rows_of(done, "id", "sha", "keep_id", "group_size", "kept") == expected(texts())
+
+
 def test_empty_table(spark):
     assert exact_dedup.dedup(documents(spark, []), F.col("id") > 2).count() == 0
 
