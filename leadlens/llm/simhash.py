@@ -182,7 +182,8 @@ def _bucketed(filed: DataFrame, max_bits: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = 4, max_bits: int = 4) -> DataFrame:
-    """id, key (of id and text, see ``row_key``), fp and component_id of every row."""
+    """id, key (of id and text, see ``row_key``), fp, component_id and label (the
+    component's smallest fingerprint, never null) of every row."""
     work = Scratch(docs.sparkSession, "simhash")
     rows = work.write(fingerprints(docs, id_col, text_col, words), "fingerprints")
     distinct = work.write(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
@@ -190,5 +191,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = (distinct.join(labels, distinct.fp == labels.node, "left")
              .select("fp", "least", F.coalesce("label", "fp").alias("label")))
     roots = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = named.join(roots, "label").select("fp", "component_id")
-    return rows.join(named, "fp").select("id", "key", "fp", "component_id")
+    named = named.join(roots, "label").select("fp", "component_id", "label")
+    return rows.join(named, "fp").select("id", "key", "fp", "component_id", "label")

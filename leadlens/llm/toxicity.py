@@ -14,8 +14,8 @@ score.
 
 Fitting reads labels of rows whose crc32 of the id is not 2 modulo 4, at most
 about ``SAMPLE_ROWS`` of them, chosen by a hash of the id; statistics are
-summed on executors and the lexicon has ``TERMS`` terms at most. A score reads
-the text alone.
+summed on executors, and the lexicon has whatever terms those rows show. A score
+reads the text alone.
 
 Defined cases: null and empty texts have no hits and get the score of a text
 without any; without labelled toxic rows every score is 0; a null label counts
@@ -41,8 +41,6 @@ from leadlens.llm.lexicon_automaton import LexiconAutomaton
 from leadlens.llm.tables import Scratch
 
 SAMPLE_ROWS = 30_000
-TERMS = 20_000
-NEIGHBOURS = 100_000       # clean words near a term, most frequent first
 STEMS = (4, 5, 6)
 PURITY, STEM_PURITY = 0.5, 0.9       # least share of toxic texts among those that hold a term, a stem
 WINDOW = 60                # code points of context on each side
@@ -195,8 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     scored = counts.withColumn("ratio", _ratio(effective, F.col("clean"), n_toxic, n_clean))
     least = F.when(F.col("word").endswith("*"), F.lit(STEM_PURITY)).otherwise(F.lit(PURITY))
     found = [r["word"] for r in scored.where((F.col("ratio") > chance)
-                                             & (effective >= least * (effective + F.col("clean"))))
-             .orderBy(F.desc("ratio"), "word").limit(TERMS).collect()]
+                                             & (effective >= least * (effective + F.col("clean")))).collect()]
     terms = sorted(w for w in found if not w.endswith("*"))
     stems = sorted(w[:-1] for w in found if w.endswith("*"))
     lexicon = Model(terms, stems, frozenset())
@@ -207,8 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             hits = [find(w.encode()) for w in pdf["word"]]
             yield pdf[[h is not None and h[0] > 0 for h in hits]]
     clean = frozenset(r["word"] for r in counts.where("clean > 0 and not endswith(word, '*')").select("word", "clean")
-                      .mapInPandas(near, "word string, clean long")
-                      .orderBy(F.desc("clean"), "word").limit(NEIGHBOURS).collect())
+                      .mapInPandas(near, "word string, clean long").collect())
     model = Model(terms, stems, clean)
     cases = rows.select("toxic", _features(model)(F.col("text")).alias("f")).select("toxic", "f.*").collect()
     x = np.array([[1.0, r["mass"], r["distinct"], r["density"]] for r in cases])

@@ -1,3 +1,4 @@
+import brute
 import corpus_pipeline
 import duckdb
 import pytest
@@ -12,13 +13,13 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SMALL)
     want = con.execute(queries.ORACLE_SQL[name])
@@ -56,6 +57,22 @@ def test_stages_on_odd_rows(spark, tmp_path):
     assert sorted((r["doc_id"] for r in again), key=repr) == kept[4]
 
 
+@pytest.mark.parametrize("words", [1, 1 << 20])
+def test_one_document_of_each_near_group_stays(spark, monkeypatch, words):
+    monkeypatch.setattr(corpus_pipeline, "SCREEN_WORDS", words)
+    base = prose(300, 2)
+    rows = [(k, prose(40 + k, 50 + k)) for k in range(20)]
+    rows += [(100 + k, base + " end" * (k > 3)) for k in range(8)] + [(300 - k, prose(90, 7)[: 400 + k]) for k in range(4)]
+    rows += [(400, None), (401, ""), (402, " \t")]
+    groups = {}
+    for d, _, root in brute.near_groups(rows):
+        groups.setdefault(root, []).append(d)
+    assert sum(len(g) > 1 for g in groups.values()) >= 2
+    docs = documents(spark, [*rows, rows[0], (None, rows[1][1]), (None, prose(70, 1))])
+    kept = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert sorted(kept, key=repr) == sorted([*groups, None], key=repr)
+
+
 def test_empty_documents(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
