@@ -5,25 +5,36 @@ Each stage takes (spark, docs, sf_dir). All but the last return the columns of
 ``documents``; the last returns doc_id, n_tokens, ids, roundtrip and parity.
 
 Defined cases follow the operators. Rows that repeat an id together with its
-text leave one row after exact dedup. A document without a text or with an
+text leave one row after either dedup. A document without a text or with an
 empty one is clean; all such documents are copies of one another. Further
 columns of the documents pass through every filtering stage.
+
+Scale: of the documents, only those that may be in a group of copies move (a
+screen of bits tells); the others stay where they are read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.llm import decontaminate, exact_dedup, sentencepiece_tokens, simhash, toxicity
 from leadlens.llm.tables import Scratch, row_key, table
+from leadlens.operators.screen import marked, screen
+
+SCREEN_WORDS = 1 << 20     # of 64 bits
 
 
-def _chosen(docs: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
-    """One row of ``docs`` for each key that is in ``keys``. Semi-join and
-    duplicate removal share one exchange of the rows."""
-    return (docs.withColumn("__key", key).join(keys.select(F.col("key").alias("__key")), "__key", "left_semi")
-            .dropDuplicates(["__key"]).select(*docs.columns))
+def _one_of_each(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``grouped`` (key and kept of every row of a
+    group of several) drops, and with one row of each key that it keeps."""
+    bits = screen(grouped, ["key"], SCREEN_WORDS)
+    rows = marked(docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text"))), ["__key"], bits, "__may",
+                  SCREEN_WORDS)
+    verdict = grouped.select(F.col("key").alias("__key"), F.col("kept").alias("__kept")).distinct()
+    stay = (rows.where("__may").join(verdict, "__key", "left").where("coalesce(__kept, true)")
+            .dropDuplicates(["__key"]))
+    return rows.where("not __may").select(*docs.columns).unionByName(stay.select(*docs.columns))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,13 +44,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     verdict = exact_dedup.dedup(docs, F.pmod(F.xxhash64("id"), F.lit(2)) == 1)
-    return _chosen(docs, verdict.where("kept").select("key"), row_key(F.col("doc_id"), F.col("text")))
+    grouped = Scratch(spark, "exact-copies").write(verdict.where("group_size > 1").select("key", "kept"), "grouped")
+    return _one_of_each(docs, grouped)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs)
-    return _chosen(docs, found.where("id <=> component_id").select("key"),
-                   row_key(F.col("doc_id"), F.col("text")))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key"))
+    groups = (found.groupBy("label").agg(F.count(F.lit(1)).alias("n"), first.alias("first")).where("n > 1")
+              .select("label", F.col("first.key").alias("keep")))
+    grouped = found.join(groups, "label").select("key", (F.col("key") == F.col("keep")).alias("kept"))
+    return _one_of_each(docs, Scratch(spark, "near-copies").write(grouped, "grouped"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
