@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from leadlens.functions import text as T
+from leadlens.session import cut_lineage
 
 # Fixed values of the reference's rules: numbers are what Python's float()
 # accepts in decimal notation; money drops "$" and ","; dates are month/day/
@@ -64,7 +65,8 @@ class ColumnStats:
 
 
 def _is_number(c: Column) -> Column:
-    return c.rlike(NUMBER_RE)
+    """``NUMBER_RE``, tried only where the first character may begin a number."""
+    return c.substr(1, 1).isin(*"0123456789+-. \t\n\r\x0b\x0c") & c.rlike(NUMBER_RE)
 
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -78,7 +80,14 @@ def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 def _date_shaped(c: Column) -> Column:
     """Letter-free text with exactly three '/'-separated parts."""
     slashes = F.length(c) - F.length(F.translate(c, "/", ""))
-    return (slashes == 2) & ~c.rlike(r"\p{L}")
+    return F.contains(c, F.lit("/")) & (slashes == 2) & ~c.rlike(r"\p{L}")
+
+
+def _long(df: DataFrame, cols: list[str]) -> DataFrame:
+    """A row (column_name, value) for each non-NULL cell; columns go by c0, c1, ..."""
+    text = df.select([F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
+    return (text.unpivot(ids=[], values=text.columns, variableColumnName="column_name", valueColumnName="value")
+            .where(F.col("value").isNotNull()))
 
 
 def column_stats(df: DataFrame, columns: list[str] | None = None) -> dict[str, ColumnStats]:
@@ -91,22 +100,29 @@ def column_stats(df: DataFrame, columns: list[str] | None = None) -> dict[str, C
             if isinstance(df.schema[c].dataType, Ty.StringType)]
     if not cols:
         return {}
-    row = df.agg(*[x for i, c in enumerate(cols) for x in (
-        F.count(F.col(c)).alias(f"n{i}"), F.count_if(_is_number(F.col(c))).alias(f"num{i}"),
-        F.count_if(_is_number(F.translate(F.col(c), MONEY_DROP, ""))).alias(f"mon{i}"),
-        F.count_if(F.contains(F.col(c), F.lit("$"))).alias(f"dollar{i}"),
-        F.count_if(_date_shaped(F.col(c))).alias(f"date{i}"),
-        (F.min(c) < F.max(c)).alias(f"two{i}"))]).first()
+    # Cells are tested as rows: one small aggregate, whatever the number of columns.
+    v = F.col("value")
+    number, dollar = _is_number(v), F.contains(v, F.lit("$"))
+    bare = F.when(dollar | F.contains(v, F.lit(",")), _is_number(F.translate(v, MONEY_DROP, ""))).otherwise(F.col("number"))
+    cells = (_long(df, cols).withColumn("number", number)
+             .select("column_name", "number", bare.alias("bare"), dollar.alias("dollar"),
+                     _date_shaped(v).alias("date"), F.xxhash64("value").alias("h")))
+    rows = {r["column_name"]: r for r in cells.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in ("number", "bare", "dollar", "date")],
+        (F.min("h") < F.max("h")).alias("two")).collect()}
     out, unsure = {}, {}
     for i, c in enumerate(cols):
-        n, dollars, dates = row[f"n{i}"], row[f"dollar{i}"], row[f"date{i}"]
-        x = out[c] = ColumnStats(n, row[f"num{i}"], row[f"mon{i}"])
-        if not n or x.numeric == n:
+        r = rows.get(f"c{i}")
+        if r is None:
+            out[c] = ColumnStats(0, 0, 0)
+            continue
+        x = out[c] = ColumnStats(r["n"], r["number"], r["bare"])
+        if x.numeric == x.non_null:
             continue                                   # the numbers alone decide
-        x.money = dollars == n
-        x.date = dates == n and bool(row[f"two{i}"])
-        if 0 < dollars < n or (0 < dates < n and not x.money):
-            unsure[c] = n
+        x.money = r["dollar"] == x.non_null
+        x.date = r["date"] == x.non_null and r["two"]
+        if 0 < r["dollar"] < x.non_null or (0 < r["date"] < x.non_null and not x.money):
+            unsure[c] = x.non_null
     for c, top in top_two(df, unsure).items():
         out[c].money = "$" in top[0]
         out[c].date = len(top) > 1 and not any(ch.isalpha() for ch in top[1]) and len(top[1].split("/")) == 3
@@ -127,16 +143,14 @@ def top_two(df: DataFrame, non_null: dict[str, int]) -> dict[str, list[str]]:
     if not non_null:
         return {}
     cols = list(non_null)
-    text = df.select([F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
-    sketched = text.agg(*[F.expr(f"approx_top_k(c{i}, {CANDIDATES}, {SKETCH_ITEMS})").alias(f"k{i}")
-                          for i in range(len(cols))]).first()
+    sketched = df.agg(*[F.expr(f"approx_top_k(cast(`{c}` AS string), {CANDIDATES}, {SKETCH_ITEMS})").alias(f"k{i}")
+                        for i, c in enumerate(cols)]).first()
     candidates = {c: [(r["item"], r["count"]) for r in sketched[f"k{i}"] or [] if r["item"] is not None]
                   for i, c in enumerate(cols)}
     listed = df.sparkSession.createDataFrame(       # CANDIDATES rows a column at most
         [(f"c{i}", v) for i, c in enumerate(cols) for v, _ in candidates[c]], "column_name string, value string")
     exact: dict[str, list[tuple[int, str]]] = {c: [] for c in cols}
-    long = text.unpivot(ids=[], values=text.columns, variableColumnName="column_name", valueColumnName="value")
-    for r in (long.join(F.broadcast(listed), ["column_name", "value"], "left_semi")
+    for r in (_long(df, cols).join(F.broadcast(listed), ["column_name", "value"], "left_semi")
               .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")).collect()):
         exact[cols[int(r["column_name"][1:])]].append((-r["cnt"], r["value"]))
     out, open_ = {}, []
@@ -246,11 +260,11 @@ def clean_frame(df: DataFrame, key: list[str] | None = None, exact_links: bool =
                 ) -> tuple[DataFrame, DataFrame | None]:
     """INF0: link cleaning -> ASCII/control scrub -> numeric -> dates, in that order.
 
-    Statistics are gathered once on the scrubbed frame; the date rule looks
-    at the top values of the columns left as text after the numeric step,
-    which the numeric step does not change for text columns.
+    The scrubbed frame is written once; statistics and result read that. The
+    date rule looks at the top values of the columns left as text after the
+    numeric step, which the numeric step does not change for text columns.
     """
-    scrubbed = strip_cells(anchor_cells(df, exact_links))
+    scrubbed = cut_lineage(strip_cells(anchor_cells(df, exact_links)), "scrubbed")
     stats = column_stats(scrubbed)
     num = infer_numeric(scrubbed, stats)
     plan = numeric_plan(stats)

@@ -19,7 +19,9 @@ shuffle: the needles' keys set bits in a bounded table, which is broadcast, and
 slice whose bit isn't set has no partner. Names that hold very
 many rows are dealt out: the rows of the side that holds them go to parts by a
 hash of their id, the other side's rows to each of the parts, so that no task
-reads such a name alone.
+reads such a name alone. Both take stages of their own and only matter for the
+layout, so they are left out where Spark estimates both sides at less than
+``SMALL_BYTES``.
 
 For anti and semi joins (existence only) the right side is first reduced to
 distinct (names, needle, haystack length) or (names, haystack) values with
@@ -36,8 +38,10 @@ from pyspark.sql import functions as F
 
 from leadlens.functions.text import MIN_PHONE_LEN
 from leadlens.operators.screen import screen, screened
+from leadlens.session import estimated_bytes
 
 SLICE = MIN_PHONE_LEN  # block key length; must not exceed the phone minimum
+SMALL_BYTES = 256 << 20
 HOT_ROWS = 100_000         # of one name and side; more are dealt out
 HOT_NAMES, HOT_PARTS = 1000, 64      # at most
 COUNT_ONE_IN = 16          # rows counted to find such names; a matter of layout alone
@@ -260,9 +264,25 @@ def _explode_slices(df: DataFrame, hay: str) -> DataFrame:
     return df.select("*", F.explode(_slices(F.col(hay))).alias("_k"))
 
 
-def _screened(slices: DataFrame, needles: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Slices whose key some needle may have (never fewer than have one)."""
-    return screened(slices, keys, screen(needles, keys))
+class _Layout:
+    """How the exploded sides of a match come together on names and ``_k``."""
+
+    def __init__(self, names: Sequence[str], left: DataFrame, left_id: str, right: DataFrame,
+                 right_id: str | None = None):
+        self.names, self.left_id, self.right_id = list(names), left_id, right_id
+        self.large = max(estimated_bytes(left), estimated_bytes(right)) >= SMALL_BYTES
+        if self.large:
+            self.hot = _hot_names(names, left, left_id, right if right_id else None, right_id)
+
+    def screened(self, slices: DataFrame, needles: DataFrame) -> DataFrame:
+        """Slices whose key some needle may have (never fewer than have one)."""
+        keys = [*self.names, "_k"]
+        return screened(slices, keys, screen(needles, keys)) if self.large else slices
+
+    def join(self, a: DataFrame, b: DataFrame) -> DataFrame:
+        if self.large:
+            return _dealt_join(a, self.left_id, b, self.right_id, self.names, self.hot)
+        return a.join(b, on=[*self.names, "_k"], how="inner")
 
 
 def _hot_names(names: Sequence[str], left: DataFrame, left_id: str, right: DataFrame | None = None,
@@ -315,33 +335,28 @@ def _pairs(s: _Sides, direction, exclude_self, pair_filter, pair_columns,
     R = _narrow_right(s, rx)
     if dedup_right:  # content-keyed right side: match each distinct row once
         R = R.dropDuplicates([s.r(s.rid)])
-    keys = [*s.l_names, "_k"]
     lc, rc = F.col(s.lc), F.col(s.r(s.rc))
     rkeys = {rn: ln for ln, rn in zip(s.l_names, s.r_names)}
 
     def renamed(df: DataFrame) -> DataFrame:
         return df.select([F.col(c).alias(rkeys.get(c, c)) for c in df.columns])
 
-    hot = _hot_names(s.l_names, L, s.lid, renamed(R), s.r(s.rid))
-
-    def key_join(a: DataFrame, b: DataFrame) -> DataFrame:
-        return _dealt_join(a, s.lid, b, s.r(s.rid), s.l_names, hot)
-
+    layout = _Layout(s.l_names, L, s.lid, renamed(R), s.r(s.rid))
     branches = []
     # Branch B: a left phone occurs in the right haystack.
     lb = _explode_needles(L, s.lph)
-    rb = _screened(renamed(_explode_slices(R, s.r(s.rc))), lb, keys)
+    rb = layout.screened(renamed(_explode_slices(R, s.r(s.rc))), lb)
     cond = F.contains(rc, F.col("_needle")) & _first_hit(s.lph, "_pos", rc)
     if direction == "longer":
         cond = cond & (F.length(lc) < F.length(rc))
-    branches.append(key_join(lb, rb).filter(cond))
+    branches.append(layout.join(lb, rb).filter(cond))
     if direction == "longer":
         # Branch A: a right phone occurs in the left haystack.
         ra = renamed(_explode_needles(R, [s.r(p) for p in s.rph]))
-        la = _screened(_explode_slices(L, s.lc), ra, keys)
+        la = layout.screened(_explode_slices(L, s.lc), ra)
         cond = F.contains(lc, F.col("_needle")) & (F.length(lc) >= F.length(rc)) & \
             _first_hit([s.r(p) for p in s.rph], "_pos", lc)
-        branches.append(key_join(la, ra).filter(cond))
+        branches.append(layout.join(la, ra).filter(cond))
     out = []
     for b in branches:
         if exclude_self:
@@ -372,8 +387,7 @@ def _matched_left_ids(s: _Sides, direction, exclude_self) -> DataFrame:
         return (F.col(min_id) != F.col(s.lid)) | (F.col(max_id) != F.col(s.lid))
 
     hits = []
-    keys = [*s.l_names, "_k"]
-    hot = _hot_names(s.l_names, L, s.lid)
+    layout = _Layout(s.l_names, L, s.lid, R.select(*names_r, s.rc))
     # Branch B: left phone inside a right haystack. Reduce right to distinct
     # haystacks per name with the smallest and largest id holding it.
     rh = (R.select(*names_r, F.col(s.rc).alias("_hay"), F.col(s.rid).alias("_rid"))
@@ -381,11 +395,11 @@ def _matched_left_ids(s: _Sides, direction, exclude_self) -> DataFrame:
            .groupBy(*names_r, "_hay")
            .agg(F.min("_rid").alias("_min_id"), F.max("_rid").alias("_max_id")))
     lb = _explode_needles(L, s.lph)
-    rh = _screened(as_left_names(_explode_slices(rh, "_hay")), lb, keys)
+    rh = layout.screened(as_left_names(_explode_slices(rh, "_hay")), lb)
     cond = F.contains(F.col("_hay"), F.col("_needle")) & other_exists("_min_id", "_max_id")
     if direction == "longer":
         cond = cond & (F.length(lc) < F.length("_hay"))
-    hits.append(_dealt_join(lb, s.lid, rh, None, s.l_names, hot).filter(cond).select(s.lid))
+    hits.append(layout.join(lb, rh).filter(cond).select(s.lid))
     if direction == "longer":
         # Branch A: right phone inside the left haystack. Reduce right to
         # distinct (name, phone, haystack length).
@@ -394,10 +408,10 @@ def _matched_left_ids(s: _Sides, direction, exclude_self) -> DataFrame:
         rn = (rn.groupBy(*names_r, "_needle", "_k", "_rlen")
                 .agg(F.min("_rid").alias("_min_id"), F.max("_rid").alias("_max_id")))
         rn = as_left_names(rn)
-        la = _screened(_explode_slices(L, s.lc), rn, keys)
+        la = layout.screened(_explode_slices(L, s.lc), rn)
         cond = F.contains(lc, F.col("_needle")) & (F.length(lc) >= F.col("_rlen")) & \
             other_exists("_min_id", "_max_id")
-        hits.append(_dealt_join(la, s.lid, rn, None, s.l_names, hot).filter(cond).select(s.lid))
+        hits.append(layout.join(la, rn).filter(cond).select(s.lid))
     res = hits[0]
     for h in hits[1:]:
         res = res.unionByName(h)
@@ -431,24 +445,23 @@ def containment_min(left: DataFrame, right: DataFrame, *, on: Sequence, left_id:
         return df.select([F.col(c).alias(rename.get(c, c)) for c in df.columns])
 
     hits = []
-    keys = [*s.l_names, "_k"]
-    hot = _hot_names(s.l_names, L, s.lid)
+    layout = _Layout(s.l_names, L, s.lid, right.select(*names_r, s.rc))
     rh = (right.select(*names_r, F.col(s.rc).alias("_hay"), F.col(value).alias("_v"))
                .filter(F.length("_hay") >= SLICE).groupBy(*names_r, "_hay")
                .agg(agg("_v").alias("_v")))
     lb = _explode_needles(L, s.lph)
-    rh = _screened(as_left_names(_explode_slices(rh, "_hay")), lb, keys)
+    rh = layout.screened(as_left_names(_explode_slices(rh, "_hay")), lb)
     cond = F.contains(F.col("_hay"), F.col("_needle"))
     if direction == "longer":
         cond = cond & (F.length(lc) < F.length("_hay"))
-    hits.append(_dealt_join(lb, s.lid, rh, None, s.l_names, hot).filter(cond).select(s.lid, "_v"))
+    hits.append(layout.join(lb, rh).filter(cond).select(s.lid, "_v"))
     if direction == "longer":
         rn = _explode_needles(right.select(*names_r, *s.rph, F.col(value).alias("_v"),
                                            F.length(s.rc).alias("_rlen")), s.rph)
         rn = as_left_names(rn.groupBy(*names_r, "_needle", "_k", "_rlen").agg(agg("_v").alias("_v")))
         cond = F.contains(lc, F.col("_needle")) & (F.length(lc) >= F.col("_rlen"))
-        la = _screened(_explode_slices(L, s.lc), rn, keys)
-        hits.append(_dealt_join(la, s.lid, rn, None, s.l_names, hot).filter(cond).select(s.lid, "_v"))
+        la = layout.screened(_explode_slices(L, s.lc), rn)
+        hits.append(layout.join(la, rn).filter(cond).select(s.lid, "_v"))
     res = hits[0]
     for h in hits[1:]:
         res = res.unionByName(h)

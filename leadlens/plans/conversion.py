@@ -78,22 +78,44 @@ def attach_secondary(pd: DataFrame, prospect_data: DataFrame) -> DataFrame:
     return pd.join(sec, "application_id", "left")
 
 
-def _lease_match(x: DataFrame, leases: DataFrame, *, secondary: bool, how: str,
-                 prefix: str, blocked: bool) -> DataFrame:
-    """JN8: left phones inside the lease's combined phone, names equal to the
-    lower-cased contact names, lease date not before the prospect date."""
-    pre = "secondary_" if secondary else ""
-    names = [f"{pre}first_name", f"{pre}last_name"]
-    phones = [f"{pre}{p}" for p in PHONES]
-    created = "secondary_created" if secondary else "created"
-    return containment_join(
-        x, leases, on=[(names[0], "contact_first"), (names[1], "contact_last")],
-        left_id=None, right_id="lease_id" if "lease_id" in leases.columns else None, left_phones=phones,
+IDENTITY = [*NAMES, *PHONES, "created"]
+
+
+def _identity(role: str) -> list[Column]:
+    """The columns that the lease match reads of the primary (``""``) or the
+    ``secondary_`` applicant, under the primary's names."""
+    return [F.col(role + c).alias(c) for c in IDENTITY]
+
+
+def _identity_key(role: str) -> Column:
+    return F.sha2(F.to_json(F.struct(*_identity(role))), 256)
+
+
+def lease_pairs(x: DataFrame, leases: DataFrame, *, blocked: bool = True, checkpoint: bool = True) -> DataFrame:
+    """JN8 for both applicants of a row in one pass: (``_lk``, lease columns
+    with prefix ``r_``) for each distinct identity and lease where a phone of the
+    identity occurs in the lease's combined phone, the names equal the
+    lower-cased contact names, and the lease date isn't before the prospect's."""
+    people = x.select(_identity("")).unionByName(x.select(_identity("secondary_")))
+    people = (people.where(F.col(NAMES[0]).isNotNull() & F.col(NAMES[1]).isNotNull())
+              .withColumn("_lk", _identity_key("")).dropDuplicates(["_lk"]))
+    found = containment_join(
+        people, leases, on=[(NAMES[0], "contact_first"), (NAMES[1], "contact_last")],
+        left_id="_lk", right_id="lease_id" if "lease_id" in leases.columns else None, left_phones=PHONES,
         right_phones=["mobile_phone", "home_phone", "work_phone"],
-        left_combined=phones[0], right_combined="combined_phone",
-        how=how, direction="l_in_r",
-        pair_filter=F.to_date(F.col(prefix + "createdtime")) >= F.to_date(F.col(created)),
-        pair_columns=([created], ["createdtime"]), blocked=blocked, right_prefix=prefix)
+        left_combined=PHONES[0], right_combined="combined_phone",
+        how="inner", direction="l_in_r",
+        pair_filter=F.to_date(F.col("r_createdtime")) >= F.to_date(F.col("created")),
+        pair_columns=(["created"], ["createdtime"]), blocked=blocked, right_prefix="r_")
+    found = found.select("_lk", *[c for c in found.columns if c.startswith("r_")])
+    return cut_lineage(found, "leases") if checkpoint else found
+
+
+def _with_leases(x: DataFrame, pairs: DataFrame, role: str, how: str, prefix: str = "") -> DataFrame:
+    """``x`` with the leases of one applicant (or without rows that have one)."""
+    pairs = pairs.select("_lk").distinct() if how == "left_anti" else pairs.select(
+        "_lk", *[F.col(c).alias(prefix + c[2:]) for c in pairs.columns if c != "_lk"])
+    return x.withColumn("_lk", _identity_key(role)).join(pairs, "_lk", how).drop("_lk")
 
 
 def _with_buildings(x: DataFrame, pw_building: DataFrame | None,
@@ -132,13 +154,13 @@ def prospect_conversion(prospect_data: DataFrame, pw_lease: DataFrame,
                          "dups_combined": F.lit(None).cast("string")})
     x = attach_secondary(pd, prospect_data)
     x = _with_buildings(x, pw_building, keep_columns=funnel_inputs)
-    # Both lease matches read x twice each (identities, then the join back):
-    # materialise it once in the shared checkpoint folder instead of
-    # re-running the de-duplication match four times.
+    # The lease match reads x for its identities, then x is joined: materialise
+    # it once in the shared checkpoint folder instead of re-running the
+    # de-duplication match.
     x = cut_lineage(x) if checkpoint else x
-    lz = lease_identity(pw_lease)
-    x = _lease_match(x, lz, secondary=False, how="left", prefix="pl_", blocked=blocked)
-    x = _lease_match(x, lz, secondary=True, how="left", prefix="sl_", blocked=blocked)
+    pairs = lease_pairs(x, lease_identity(pw_lease), blocked=blocked, checkpoint=checkpoint)
+    x = _with_leases(x, pairs, "", "left", "pl_")
+    x = _with_leases(x, pairs, "secondary_", "left", "sl_")
     keep = [*pd.columns, "secondary_customer_id", "secondary_first_name", "secondary_last_name"]
     if funnel_inputs:
         extra = [c for c in (pw_building.columns if pw_building is not None else [])
@@ -178,10 +200,10 @@ def partner_list(prospect_data: DataFrame, pw_lease: DataFrame, *, code: str,
     x = attach_secondary(pd, prospect_data)
     x = _with_buildings(x, pw_building)
     x = cut_lineage(x) if checkpoint else x   # see prospect_conversion
-    lz = lease_identity(pw_lease)
+    pairs = lease_pairs(x, lease_identity(pw_lease), blocked=blocked, checkpoint=checkpoint)
     # JN12: "left join pw_leases ... where leasename is null" is an anti join.
-    x = _lease_match(x, lz, secondary=False, how="left_anti", prefix="pl_", blocked=blocked)
-    x = _lease_match(x, lz, secondary=True, how="left", prefix="sl_", blocked=blocked)
+    x = _with_leases(x, pairs, "", "left_anti")
+    x = _with_leases(x, pairs, "secondary_", "left", "sl_")
     return x.select(
         "first_name", "last_name",
         F.coalesce("secondary_first_name", F.lit("N/A")).alias("co_applicant_first_name"),

@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from leadlens.operators.infer import clean_frame
-from leadlens.session import cut_lineage
 from leadlens.sinks.committed import Version, commit, publish
 from leadlens.sources.report import read_report
 
@@ -19,10 +18,8 @@ _NO_REJECTS = "column_name string, value string"
 
 def cleaned_feed(spark: SparkSession, path: str, *, partitions: int | None = None, newest_only: bool = True,
                  key: list[str] | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Read the newest report under ``path`` (or all) and clean/infer its
-    columns. Parsed records are written once; counts and result read that."""
-    records = cut_lineage(read_report(spark, path, partitions=partitions, newest_only=newest_only), "feed")
-    return clean_frame(records, key)
+    """Read the newest report under ``path`` (or all) and clean/infer its columns."""
+    return clean_frame(read_report(spark, path, partitions=partitions, newest_only=newest_only), key)
 
 
 def refresh(spark: SparkSession, path: str, root: str, *, partitions: int | None = None,

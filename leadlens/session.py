@@ -57,6 +57,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a plan's size (its optimizer's statistics); no job
+    runs. It decides about the layout of a plan, never about its result."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

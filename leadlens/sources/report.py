@@ -68,7 +68,8 @@ def parse_documents(raw: DataFrame, value: str = "value") -> DataFrame:
     """SRC2: ``columns`` (index and label of each) and ``records`` (VARIANT) in
     place of ``value``; both are NULL where the text is no such document."""
     rest = [c for c in raw.columns if c != value]
-    doc = raw.select(*rest, F.try_parse_json(repair_escapes(F.col(value))).alias("doc"))
+    # A generated column: filters on the parsed parts stay above it, else each would parse again.
+    doc = raw.select(*rest, F.explode(F.array(F.try_parse_json(repair_escapes(F.col(value))))).alias("doc"))
     return doc.select(*rest, F.try_variant_get("doc", "$.columns", HEADER).alias("columns"),
                       F.try_variant_get("doc", "$.records", "array<variant>").alias("records"))
 

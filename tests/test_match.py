@@ -103,7 +103,7 @@ def test_containment_min_equals_min_over_pairs(spark, seed, direction):
 
 @pytest.fixture
 def small_parts(monkeypatch):
-    for name, value in {"HOT_ROWS": 6, "HOT_PARTS": 4, "COUNT_ONE_IN": 1}.items():
+    for name, value in {"SMALL_BYTES": 0, "HOT_ROWS": 6, "HOT_PARTS": 4, "COUNT_ONE_IN": 1}.items():
         monkeypatch.setattr(match, name, value)
 
 
@@ -115,7 +115,17 @@ def test_names_dealt_over_parts_give_the_same(spark, small_parts, how):
         assert run(spark, p, p, how, True, **kw) == run(spark, p, p, how, False, **kw), kw
 
 
+def test_least_values_over_parts_are_the_same(spark, small_parts, monkeypatch):
+    p = people(spark, rand_rows(6, 90))
+    spec = dict(on=["fn", "ln"], left_id="id", left_phones=PH, right_phones=PH, left_combined="c", right_combined="c",
+                value="id", out="least")
+    dealt = sorted(map(tuple, match.containment_min(p, p, **spec).collect()))
+    monkeypatch.setattr(match, "SMALL_BYTES", 1 << 60)
+    assert dealt == sorted(map(tuple, match.containment_min(p, p, **spec).collect())) != []
+
+
 def test_an_identity_with_a_third_of_the_rows_meets_in_no_single_task(spark, monkeypatch):
+    monkeypatch.setattr(match, "SMALL_BYTES", 0)
     monkeypatch.setattr(match, "HOT_ROWS", 100)
     monkeypatch.setattr(match, "COUNT_ONE_IN", 1)
     rows = [(i, "hot" if i % 3 == 0 else f"n{i}", "z", "3125550001" if i % 3 == 0 else f"312{i:07d}", None, None, False, None)
