@@ -28,7 +28,8 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return (url_filter.judged(pages, url_filter.fit(pages))
+    model = url_filter.fit(pages)
+    return (url_filter.judged(pages, model, urls=model.urls)
             .withColumn("words", F.array_join("words", " ")))
 
 

@@ -2,11 +2,19 @@
 
 Concatenated host names are split into words by a unigram Viterbi search, and a
 multinomial naive Bayes model over the words of host and path tells wanted
-from unwanted pages. Word counts come from all page titles, paths and top-level
-domains, and every word counts, however rare. The naive Bayes model
-has no labelled rows, so it learns from urls whose words hold one of the
-``SEEDS`` (block) or none of them (allow), and then scores every url by all its
-words.
+from unwanted pages. Words are runs of letters of any script. Their counts come
+from all page titles, paths and top-level domains, and from the labels of host
+names, counted by the different domains they stand before (``www``, ``example``);
+every word counts, however rare. A name that isn't made of known words is one
+unknown word: known words of less than ``SHORT`` letters don't stand beside
+unknown pieces, so that ``alphabet`` isn't taken for a name that ends in ``bet``.
+
+The naive Bayes model has no labelled rows. It learns in two steps: first from
+urls whose words hold one of the ``SEEDS`` and those whose don't, with the seeds
+themselves hidden, so that it learns what stands beside them. What the other
+words of a url then say is added to ``SEED_ODDS`` for or against it, and by the
+sign of the sum the final model learns all words, the seeds among them. A seed
+among wanted words doesn't block, and words that keep company with seeds do.
 
 Defined cases: a null url or one without ``://`` has an empty host and path and
 no words, so the more frequent class decides (allow if no page was seen); rows
@@ -33,7 +41,9 @@ from pyspark.sql import functions as F
 
 from leadlens.llm.tables import Scratch
 
-LONGEST = 24
+LONGEST = 40        # letters of a word inside a longer name; a whole name may be any word
+SHORT = 4
+SEED_ODDS = 2.0
 OTHER, NUMBER = "<other>", "<number>"
 # fixed values: the rules to apply, (verdict, host and path)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -41,7 +51,7 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 SEEDS = ("adult", "ads", "advert", "bet", "bonus", "casino", "cheap", "dating", "escort", "jackpot", "loan",
          "lottery", "pills", "poker", "porn", "sex", "slots", "spam", "track", "tracker", "viagra", "warez",
          "win", "xxx")
-_TOKEN = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
+_TOKEN = re.compile(r"[^\W\d_]+|\d+")
 
 
 def host_of(url: Column) -> Column:
@@ -78,26 +88,38 @@ class Segmenter:
         self.cost = {w: self.total - math.log(n) for w, n in counts.items()}
 
     def split(self, name: str) -> list[str]:
-        best, back = [0.0] + [math.inf] * len(name), [0] * (len(name) + 1)
+        """The likeliest split; unknown pieces stand beside long known words only."""
+        long, short, unknown = 0, 1, 2               # kinds of the piece that ends somewhere
+        best = [[math.inf] * 3 for _ in range(len(name) + 1)]
+        back: list[list[tuple[int, int]]] = [[(0, 0)] * 3 for _ in range(len(name) + 1)]
+        best[0][long] = 0.0
         for end in range(1, len(name) + 1):
-            for start in range(max(0, end - LONGEST), end):
-                word = name[start:end]
-                # an unknown word is as rare as one seen once, and ten times rarer for each letter
-                cost = best[start] + self.cost.get(word, self.total + len(word) * math.log(10))
-                if cost < best[end]:
-                    best[end], back[end] = cost, start
+            starts = range(max(0, end - LONGEST), end)
+            for start in (starts if end < len(name) or starts[0] == 0 else [0, *starts]):
+                word, before = name[start:end], best[start]
+                cost = self.cost.get(word)
+                if cost is None:
+                    # as rare as one seen once, and ten times rarer for each letter
+                    cost, kind, after = self.total + len(word) * math.log(10), unknown, (long,)
+                elif len(word) < SHORT:
+                    kind, after = short, (long, short)
+                else:
+                    kind, after = long, (long, short, unknown)
+                k = min(after, key=before.__getitem__)
+                if before[k] + cost < best[end][kind]:
+                    best[end][kind], back[end][kind] = before[k] + cost, (start, k)
         words, end = [], len(name)
+        kind = min(range(3), key=best[end].__getitem__)
         while end:
-            words.append(name[back[end]:end])
-            end = back[end]
+            start, before = back[end][kind]
+            words.append(name[start:end])
+            end, kind = start, before
         return words[::-1]
 
 
 def _substrings(name: str) -> list[str]:
     """What a dictionary word in the name can be."""
-    if not "a" <= name[:1] <= "z":
-        return []
-    return sorted({name[i:j] for i in range(len(name)) for j in range(i + 2, min(len(name), i + LONGEST) + 1)})
+    return sorted({name, *(name[i:j] for i in range(len(name)) for j in range(i + 2, min(len(name), i + LONGEST) + 1))})
 
 
 @dataclass
@@ -106,6 +128,7 @@ class Model:
     total: float                     # log of the sum of n
     prior: float = -1.0              # log odds of block
     weights: DataFrame | None = None     # word, weight
+    urls: DataFrame | None = None        # key, n and words of the urls it was learned from
 
 
 def dictionary(pages: DataFrame) -> tuple[DataFrame, float]:
@@ -115,9 +138,10 @@ def dictionary(pages: DataFrame) -> tuple[DataFrame, float]:
     # the parts of urls that are single words; the names before the last dot are to be split
     domain = F.regexp_extract(host_of(url), r"\.([^.]+)$", 1)
     text = F.concat_ws(" ", titles, domain, path_of(url))
+    running = (pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{2,}"), 0)).alias("word"))
+               .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     words = Scratch(pages.sparkSession, "url-words").write(
-        pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{2,24}"), 0)).alias("word"))
-        .groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
+        running.unionByName(labels(pages)).groupBy("word").agg(F.sum("n").alias("n")), "words")
     alike = sorted((r["n"], r["k"]) for r in words.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect())
     if not alike:
         return words, math.log(2)
@@ -134,6 +158,15 @@ def dictionary(pages: DataFrame) -> tuple[DataFrame, float]:
             math.log(max(2, total + sum(raised.values()) - sum(seen.values()))))
 
 
+def labels(pages: DataFrame) -> DataFrame:
+    """word and n of labels of host names that stand before several domains."""
+    hosts = pages.select(F.split(host_of(F.coalesce("url", F.lit(""))), r"\.").alias("host")).distinct()
+    return (hosts.select("host", F.posexplode("host").alias("at", "word"))
+            .where(F.col("word").rlike(r"^\p{L}{2,}$") & (F.col("at") + 1 < F.size("host")))
+            .select("word", F.array_join(F.slice("host", F.col("at") + 2, F.size("host")), ".").alias("domain"))
+            .distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+
+
 def segmented(pages: DataFrame, words: DataFrame, total: float) -> DataFrame:
     """key, n (pages) and words of every distinct host and path; numbers and
     unknown words as one of a kind."""
@@ -178,34 +211,54 @@ def _places(pages: DataFrame, *columns: str) -> DataFrame:
             .withColumn("key", F.unhex(F.md5(F.concat("host", "path")))))
 
 
-def fit(pages: DataFrame) -> Model:
-    words, total = dictionary(pages)
-    bad = F.arrays_overlap("words", F.array(*map(F.lit, SEEDS)))
-    urls = segmented(pages, words, total).select("words", F.when(bad, 0).otherwise(F.col("n")).alias("good"),
-                                                 F.when(bad, F.col("n")).otherwise(0).alias("bad"))
-    seen = urls.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
-    if seen["good"] is None:
-        return Model(words, total)
-    by_word = Scratch(pages.sparkSession, "url-model").write(
-        urls.select(F.explode("words").alias("word"), "good", "bad")
-        .groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")), "by_word")
+def _weights(urls: DataFrame, bad: Column) -> DataFrame:
+    """word and weight: how much likelier the word is in urls that are ``bad``
+    than in the others, each word once more than it was seen."""
+    split = urls.select(F.explode("words").alias("word"), F.when(bad, 0).otherwise(F.col("n")).alias("good"),
+                        F.when(bad, F.col("n")).otherwise(0).alias("bad"))
+    by_word = split.groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    by_word = Scratch(urls.sparkSession, "url-model").write(by_word, "by_word")
     sums = by_word.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"),
                        F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     good, bad = sums["good"] + sums["n"] + 1, sums["bad"] + sums["n"] + 1
     weight = F.log((F.col("bad") + 1) / F.lit(bad)) - F.log((F.col("good") + 1) / F.lit(good))
+    return by_word.select("word", weight.alias("weight"))
+
+
+def _evidence(urls: DataFrame, weights: DataFrame) -> DataFrame:
+    """``urls`` with the sum of their words' weights (in the order of the words)."""
+    weighed = (urls.select("key", F.posexplode("words").alias("at", "word")).join(weights, "word")
+               .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "weight"))).alias("w")))
+    total = F.aggregate(F.coalesce("w.weight", F.array().cast("array<double>")), F.lit(0.0), lambda a, w: a + w)
+    return urls.join(weighed, "key", "left").withColumn("evidence", total).drop("w")
+
+
+def fit(pages: DataFrame) -> Model:
+    words, total = dictionary(pages)
+    urls = segmented(pages, words, total)
+    seeds = F.array(*map(F.lit, SEEDS))
+    seeded = F.arrays_overlap("words", seeds)
+    beside = urls.withColumns({"seeded": seeded, "words": F.array_except("words", seeds)})   # each word once
+    said = _evidence(beside, _weights(beside, F.col("seeded")))
+    bad = F.col("evidence") + F.when(F.col("seeded"), SEED_ODDS).otherwise(-SEED_ODDS) > 0
+    judged_ = said.select("key", bad.alias("bad"))
+    labelled = Scratch(pages.sparkSession, "url-labels").write(urls.join(judged_, "key"), "labelled")
+    seen = labelled.agg(F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n"))).alias("good"),
+                        F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("bad")).first()
+    if seen["good"] is None:
+        return Model(words, total)
     return Model(words, total, math.log((seen["bad"] + 1) / (seen["good"] + 1)),
-                 by_word.select("word", weight.alias("weight")))
+                 _weights(labelled, F.col("bad")), urls)
 
 
-def judged(pages: DataFrame, model: Model, rules=RULES) -> DataFrame:
-    """page_id, host, path, rule, verdict, words (segmented) and log odds of block."""
-    urls = segmented(pages, model.words, model.total)
+def judged(pages: DataFrame, model: Model, rules=RULES, urls: DataFrame | None = None) -> DataFrame:
+    """page_id, host, path, rule, verdict, words (segmented) and log odds of block.
+    ``urls``: the model's, if it was learned from these pages; they are split anew else."""
+    urls = segmented(pages, model.words, model.total) if urls is None else urls
     odds = F.lit(model.prior)
     if model.weights is not None:
-        weighed = (urls.select("key", F.posexplode("words").alias("at", "word")).join(model.weights, "word")
-                   .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "weight"))).alias("w")))
-        urls = urls.join(weighed, "key", "left")
-        odds += F.aggregate(F.coalesce("w.weight", F.array().cast("array<double>")), F.lit(0.0), lambda a, w: a + w)
+        urls = _evidence(urls, model.weights)
+        odds += F.col("evidence")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return (_places(pages, "page_id").join(urls.select("key", "words", odds.alias("odds")), "key")
             .select("page_id", "host", "path", name.alias("rule"),

@@ -30,17 +30,84 @@ def test_rules(spark):
         assert r["verdict"] == (verdict or r["verdict"]) and r["verdict"] in ("allow", "block")
 
 
-def test_viterbi_takes_the_likeliest_split():
-    s = url_filter.Segmenter({"cheap": 50, "pills": 50, "che": 2, "ap": 2, "the": 500, "a": 100})
-    assert s.split("cheappills") == ["cheap", "pills"] and s.split("") == []
+def splits(name):
+    return [[name]] + [[name[:i], *rest] for i in range(1, len(name)) for rest in splits(name[i:])] if name else [[]]
+
 
-    def best(name):      # all splits
-        if not name:
-            return 0.0
-        return min(best(name[i:]) + s.cost.get(name[:i], s.total + i * math.log(10)) for i in range(1, len(name) + 1))
-    for name in ("thecheap", "apthe", "cheapche", "xyzthe", "aaaa"):
-        cost = sum(s.cost.get(w, s.total + len(w) * math.log(10)) for w in s.split(name))
-        assert cost == pytest.approx(best(name))
+def allowed(s, words):
+    return all(a in s.cost and b in s.cost or (a in s.cost and len(a) >= 4) or (b in s.cost and len(b) >= 4)
+               for a, b in zip(words, words[1:]))
+
+
+def test_viterbi_takes_the_likeliest_split():
+    s = url_filter.Segmenter({"cheap": 50, "pills": 50, "che": 2, "ap": 2, "the": 500, "a": 100, "größe": 3, "bet": 90,
+                              "amp": 9, "le": 70})
+    assert s.split("cheappills") == ["cheap", "pills"] and s.split("") == [] and s.split("größecheap") == ["größe", "cheap"]
+    assert s.split("alphabet") == ["alphabet"] and s.split("example") == ["example"]       # no scraps
+    assert s.split("xyzcheap") == ["xyz", "cheap"] and s.split("cheapbet") == ["cheap", "bet"]
+
+    def cost(words):
+        return sum(s.cost.get(w, s.total + len(w) * math.log(10)) for w in words)
+    for name in ("thecheap", "apthe", "cheapche", "xyzthe", "aaaa", "cheapxthe", "betxbet", "alphabetcheap", "athecheapa"):
+        got = s.split(name)
+        assert allowed(s, got) and "".join(got) == name
+        assert cost(got) == pytest.approx(min(cost(w) for w in splits(name) if allowed(s, w)))
+
+
+def test_words_of_any_letters_and_lengths(spark):
+    long = "donaudampfschifffahrtsgesellschaft"
+    html = f"<title>{long} größe détail garden news {'q' * 60}</title>"
+    urls = [f"http://{long}.org/größe/détail", f"http://garden{long}.com/", f"http://{'q' * 60}.org/"]
+    urls += ["http://www.a1.org/", "http://www.b1.org/", "http://blog.example.net/x", "http://blog.example.com/x", "http://alphabet.org/"]
+    df = pages(spark, urls, html)
+    got = [list(r["words"]) for r in url_filter.judged(df, url_filter.fit(df)).orderBy("page_id").collect()]
+    assert got[0] == [long, "org", "größe", "détail"] and got[1] == ["garden", long, "com"] and got[2] == ["q" * 60, "org"]
+    assert got[3][0] == "www" and got[5][:3] == ["blog", "example", "net"]
+    assert got[7] == [url_filter.OTHER, "org"]
+
+
+def brute(urls):
+    """Verdicts by plain counts: urls as lists of words; (words, odds) of each."""
+    def weights(rows, bad):
+        seen = {w for words in rows for w in words}
+        count = {w: [1, 1] for w in seen}
+        for words, b in zip(rows, bad):
+            for w in words:
+                count[w][b] += 1
+        sums = [sum(c[k] for c in count.values()) + 1 for k in (0, 1)]
+        return {w: math.log(c[1] / sums[1]) - math.log(c[0] / sums[0]) for w, c in count.items()}
+    hidden = [list(dict.fromkeys(w for w in words if w not in url_filter.SEEDS)) for words in urls]
+    seeded = [any(w in url_filter.SEEDS for w in words) for words in urls]
+    first = weights(hidden, seeded)
+    bad = [sum(first[w] for w in words) + (url_filter.SEED_ODDS if s else -url_filter.SEED_ODDS) > 0
+           for words, s in zip(hidden, seeded)]
+    final = weights(urls, bad)
+    prior = math.log((sum(bad) + 1) / (len(bad) - sum(bad) + 1))
+    return [prior + sum(final[w] for w in words) for words in urls], bad, seeded
+
+
+def test_naive_bayes_equals_plain_counts_and_sees_what_stands_beside_seeds(spark):
+    import random
+    r = random.Random(2)
+    clean, shady = ["garden", "news", "books", "field", "school", "music"], ["roulette", "spins", "credit", "vegas"]
+    urls = []
+    for k in range(300):
+        words = r.sample(clean, 4) + ["track"] * (k % 12 == 1)
+        if k % 5 == 0:
+            words = [r.choice(shady) for _ in range(3)] + ([r.choice(["casino", "poker", "slots"])] if k % 10 else [])
+        urls.append(f"http://h.org/{'/'.join(words)}/{k}")
+    html = f"<title>{' '.join(clean + shady + ['casino', 'poker', 'slots', 'track'])}</title>"
+    df = pages(spark, urls, html)
+    model = url_filter.fit(df)
+    got = url_filter.judged(df, model, urls=model.urls).orderBy("page_id").collect()
+    odds, bad, seeded = brute([list(x["words"]) for x in got])
+    assert [x["odds"] for x in got] == pytest.approx(odds)
+    assert [x["verdict"] for x in got] == ["block" if o > 0 else "allow" for o in odds]
+    verdict = [x["verdict"] == "block" for x in got]
+    assert any(s and not v for s, v in zip(seeded, verdict))          # a track in a field
+    assert sum(v and not s for s, v in zip(seeded, verdict)) > 20     # roulette without a seed
+    again = url_filter.judged(df, model).orderBy("page_id").collect()
+    assert [x["odds"] for x in again] == pytest.approx(odds)
 
 
 def test_words_of_unwanted_sites_block(spark):
@@ -70,9 +137,16 @@ def test_one_url_on_many_pages_and_long_names(spark):
     df = pages(spark, urls, "<title>garden news</title>")
     got = {r["page_id"]: list(r["words"]) for r in url_filter.judged(df, url_filter.fit(df)).collect()}
     assert len(got) == 7 and got[0] == got[4] == ["garden", "news", "org", url_filter.OTHER, url_filter.NUMBER]
-    assert got[5] == [*["garden", "news"] * 300, "org"] and got[6][2:] == [url_filter.OTHER]
+    assert got[5] == [*["garden", "news"] * 300, "org"] and got[6] == [url_filter.OTHER, "org", "\u00e9\u00e9"]
+
+
+def test_null_html_and_repeated_ids(spark):
+    df = spark.createDataFrame([(1, "http://garden.org/a", None), (1, "http://garden.org/a", None), (1, "http://casino.org/a", None),
+                                (None, None, None)], "page_id long, url string, html string")
+    got = url_filter.judged(df, url_filter.fit(df)).collect()
+    assert sorted((r["host"] for r in got)) == ["", "casino.org", "garden.org", "garden.org"]
 
 
 def test_empty_table(spark):
-    df = pages(spark, []) if False else pages(spark, ["http://a.org/"]).where("page_id > 5")
+    df = pages(spark, ["http://a.org/"]).where("page_id > 5")
     assert url_filter.judged(df, url_filter.fit(df)).count() == 0
