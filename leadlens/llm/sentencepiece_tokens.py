@@ -44,7 +44,7 @@ from leadlens.llm.tables import narrowed
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CALL_BYTES = 1_000_000
 THREADS = 2
-WORDS, GROUP = 400_000, 500      # remembered by a task, encoded as one text
+WORDS, GROUP = 200_000, 500      # remembered by a task, encoded as one text
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 # fixed values: kinds of pieces and models in the model's protobuf
