@@ -24,12 +24,6 @@ from pyspark.sql import functions as F
 
 from leadlens.plans.prospects import (APPLICANT_COLUMNS, APPLICANT_COLUMNS_2, APPLICANT_COLUMNS_3,
                                       PROSPECT_COLUMNS)
-from leadlens.plans.synthetic import AGAIN, LEASE_SHIFT_DAYS, people, report_items, table
-
-# parts, suppliers and events stay in these proportions at every scale factor
-EVENTS_PER_UNIT = 5
-UNITS_PER_BUILDING = 20
-
 
 # Columns of the contract that no driver column stands for: derived from keys.
 PROSPECT_FILLED = [c for c in PROSPECT_COLUMNS
@@ -37,6 +31,13 @@ PROSPECT_FILLED = [c for c in PROSPECT_COLUMNS
 APPLICANT_FILLED = [*APPLICANT_COLUMNS[1:], *[c for c in APPLICANT_COLUMNS_2 if c != "has_permanent_subsidy"],
                     *APPLICANT_COLUMNS_3]
 
+# The oracle SQL there reads the two lists above while this module is being imported.
+from leadlens.plans.synthetic import AGAIN, LEASE_SHIFT_DAYS, people, report_items, table  # noqa: E402
+
+# parts, suppliers and events stay in these proportions at every scale factor
+EVENTS_PER_UNIT = 5
+UNITS_PER_BUILDING = 20
+
 
 def filled(key: Column, columns: list[str]) -> list[Column]:
     """A text for each column, another for (almost) each row, null in every tenth."""
