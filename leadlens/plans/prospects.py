@@ -24,6 +24,7 @@ from leadlens.functions import text as T
 from leadlens.operators import match as M
 from leadlens.operators import profile as P
 from leadlens.operators import select as S
+from leadlens.operators.lookup import keyed_join
 from leadlens.session import cut_lineage
 
 Tables = Mapping[str, DataFrame]
@@ -293,6 +294,41 @@ def _opt(df: DataFrame, c: str, typ: str = "string") -> Column:
     return F.col(c) if c in df.columns else F.lit(None).cast(typ)
 
 
+def applicant_profile(t: Tables, a: DataFrame) -> DataFrame:
+    """``a`` (applicants, by ``applicant_id``) with their applications and
+    approvals, CLV scores and background records.
+
+    Each step is looked up from the rows that have its key, never from the wide
+    master: most customers have no applicant and most applicants no
+    application, and a shuffle would send all of their NULL keys to one task.
+    """
+    apps = t["applications"].select(F.col("id").alias("application_id"),
+                                    F.col("created_at").alias("application_submitted_on"),
+                                    F.lit(True).alias("_app_found"),
+                                    _opt(t["applications"], "cached_rendered_hash").alias("_hash"))
+    prof = approval_profile(t)
+    lp = t["legacy_process_approval_reports"].select(
+        F.col("approval_id"), F.col("tier").alias("lp_tier"), F.col("amount").alias("lp_amount"),
+        F.col("move_in_fee").alias("lp_move_in_fee"))
+    last_approval = keyed_join(prof["last_approval"], lp, "approval_id", spread_by="application_id")
+    applied = (processed_last_application(t)           # only applications that have an approval
+               .join(apps, "application_id", "left")
+               .join(prof["roles"], "application_id", "left")
+               .join(last_approval, "application_id", "left")
+               .join(prof["first_approval"].withColumnRenamed("application_id", "first_application_id"),
+                     "first_application_id", "left"))
+
+    clv_sub = t["subscriptions"].filter(
+        (F.col("third_party_type") == "ThirdParty::CLVReport")
+        & (F.col("subscriber_type") == "Applicant")).groupBy(F.col("subscriber_id").alias("applicant_id")).agg(
+        F.max("third_party_id").alias("clv_report_id"))
+    clv = t["clv_reports"].select(F.col("id").alias("clv_report_id"), F.col("clv").alias("_clv"))
+    scores = keyed_join(clv_sub, clv, "clv_report_id", spread_by="applicant_id")
+    for part in (applied, scores, record_profile(t)):
+        a = keyed_join(a, part, "applicant_id", spread_by="id")
+    return a
+
+
 def prospect_master(t: Tables, *, as_of: str | None = None, stripped: bool = False,
                     pii: str = "keep", blocked: bool = True, checkpoint: bool = True,
                     exact: bool = False, coalesce_fee: bool = False) -> DataFrame:
@@ -322,11 +358,12 @@ def prospect_master(t: Tables, *, as_of: str | None = None, stripped: bool = Fal
                          "desired_unit", "updated_at", "subsidy_type",
                          *[F.col(c).alias(f"prospect_{c}") for c in PROSPECT_COLUMNS
                            if c in prospects.columns])
+    p = keyed_join(p, keyed_join(units, blds, "_bld", spread_by="desired_unit"), "desired_unit", spread_by="id")
+    p = keyed_join(p, signing_profile(t, as_of), "prospect_id", spread_by="id")
     a = applicants.select(F.col("id").alias("applicant_id"), F.col("customer_id").alias("id"),
                           *[F.col(c).alias(f"a_{c}") for c in applicants.columns
                             if c not in ("id", "customer_id")])
-    x = cc.join(p, "id", "left").join(a, "id", "left") \
-          .join(units, "desired_unit", "left").join(blds, "_bld", "left")
+    x = cc.join(p, "id", "left").join(applicant_profile(t, a), "id", "left")
 
     # Showing counts, matched back by the containment rule (JN6).
     # Parity: raw phones are looked up in stripped ``combined`` strings.
@@ -341,35 +378,6 @@ def prospect_master(t: Tables, *, as_of: str | None = None, stripped: bool = Fal
                                  right_combined="combined", how="inner",
                                  blocked=blocked, right_prefix="sc_")
     x = x.withColumn("_lk", M.identity_key(**spec)).join(matches, "_lk", "left").drop("_lk")
-
-    # Applications and approvals.
-    last_app = processed_last_application(t)
-    apps = t["applications"].select(F.col("id").alias("application_id"),
-                                    F.col("created_at").alias("application_submitted_on"),
-                                    F.lit(True).alias("_app_found"),
-                                    _opt(t["applications"], "cached_rendered_hash").alias("_hash"))
-    prof = approval_profile(t)
-    x = (x.join(last_app, "applicant_id", "left")
-          .join(apps, "application_id", "left")
-          .join(prof["roles"], "application_id", "left")
-          .join(prof["last_approval"], "application_id", "left"))
-    lp = t["legacy_process_approval_reports"].select(
-        F.col("approval_id"), F.col("tier").alias("lp_tier"), F.col("amount").alias("lp_amount"),
-        F.col("move_in_fee").alias("lp_move_in_fee"))
-    x = x.join(lp, "approval_id", "left")
-    x = x.join(prof["first_approval"].withColumnRenamed("application_id", "first_application_id"),
-               "first_application_id", "left")
-
-    # CLV score, background records, lease signings.
-    clv_sub = t["subscriptions"].filter(
-        (F.col("third_party_type") == "ThirdParty::CLVReport")
-        & (F.col("subscriber_type") == "Applicant")).groupBy("subscriber_id").agg(
-        F.max("third_party_id").alias("clv_report_id"))
-    clv = t["clv_reports"].select(F.col("id").alias("clv_report_id"), F.col("clv").alias("_clv"))
-    x = x.join(clv_sub.withColumnRenamed("subscriber_id", "applicant_id"), "applicant_id", "left") \
-         .join(clv, "clv_report_id", "left")
-    x = x.join(record_profile(t), "applicant_id", "left")
-    x = x.join(signing_profile(t, as_of), "prospect_id", "left")
     return _master_columns(x, a, pii, coalesce_fee)
 
 

@@ -168,3 +168,43 @@ def test_options_of_the_master(spark):
     legacy = F.col("tier") == "LT"
     assert plain.where(legacy).agg(F.count("move_in_fee")).first()[0] == 0
     assert {r[0] for r in filled.where(legacy).select("move_in_fee").collect()} == {99.0}
+
+
+def _most_in_a_task(df):
+    """Share of the rows that the fullest task of the last step holds."""
+    n = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    return max(n) / sum(n)
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def test_customers_without_applicant_or_prospect_are_spread(spark, t, shuffled_joins):
+    more = spark.range(1000, 3000).select(
+        "id", F.col("id").alias("pw_id"), F.concat(F.lit("n"), "id").alias("first_name"), F.lit("x").alias("last_name"),
+        F.lit(None).cast("string").alias("home_phone"), F.concat(F.lit("312555"), "id").alias("mobile_phone"),
+        F.lit(None).cast("string").alias("work_phone"), F.lit("e").alias("email"), F.lit(None).cast("date").alias("dob"),
+        F.lit(dt.datetime(2014, 1, 1)).alias("created_at"))
+    m = PR.prospect_master({**t, "customers": t["customers"].unionByName(more)}, as_of="2014-06-01")
+    assert m.where("applicant_id is null").count() >= 2000
+    assert _most_in_a_task(m) < 0.5
+
+
+def test_keyed_join_equals_a_join(spark):
+    from leadlens.operators.lookup import keyed_join
+    a = spark.createDataFrame([(1, 10), (2, None), (3, None), (3, 30), (3, 30), (None, 10), (None, None)], "id long, k int")
+    b = spark.createDataFrame([(10, "x"), (10, "y"), (None, "z"), (40, "w")], "k long, v string")
+    for how in ("left", "left_semi", "left_anti"):
+        got, want = keyed_join(a, b, "k", spread_by="id", how=how), a.join(b, "k", how)
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    with pytest.raises(ValueError):
+        keyed_join(a, b.select(F.col("k").cast("string").alias("k"), "v"), "k", spread_by="id")
