@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.functions import text as T
+from leadlens.operators.lookup import keyed_join
 from leadlens.operators.match import containment_join
 from leadlens.session import cut_lineage
 
@@ -67,7 +68,8 @@ def drop_processed_duplicates(prospect_data: DataFrame, blocked: bool = True,
 
 
 def attach_secondary(pd: DataFrame, prospect_data: DataFrame) -> DataFrame:
-    """JN9: the secondary applicant of the same application (left join)."""
+    """JN9: the secondary applicant of the same application (left join; most
+    prospects have no application)."""
     sec = prospect_data.filter(F.col("primary_or_secondary_applicant") == SECONDARY).select(
         "application_id",
         F.col("id").alias("secondary_customer_id"),
@@ -75,7 +77,7 @@ def attach_secondary(pd: DataFrame, prospect_data: DataFrame) -> DataFrame:
         F.col("last_name").alias("secondary_last_name"),
         *[F.col(p).alias(f"secondary_{p}") for p in PHONES],
         F.col("created").alias("secondary_created"))
-    return pd.join(sec, "application_id", "left")
+    return keyed_join(pd, sec, "application_id", spread_by="id")
 
 
 IDENTITY = [*NAMES, *PHONES, "created"]
@@ -88,7 +90,9 @@ def _identity(role: str) -> list[Column]:
 
 
 def _identity_key(role: str) -> Column:
-    return F.sha2(F.to_json(F.struct(*_identity(role))), 256)
+    """NULL for those without a name, whom no lease matches."""
+    named = F.col(role + NAMES[0]).isNotNull() & F.col(role + NAMES[1]).isNotNull()
+    return F.when(named, F.sha2(F.to_json(F.struct(*_identity(role))), 256))
 
 
 def lease_pairs(x: DataFrame, leases: DataFrame, *, blocked: bool = True, checkpoint: bool = True) -> DataFrame:
@@ -115,7 +119,7 @@ def _with_leases(x: DataFrame, pairs: DataFrame, role: str, how: str, prefix: st
     """``x`` with the leases of one applicant (or without rows that have one)."""
     pairs = pairs.select("_lk").distinct() if how == "left_anti" else pairs.select(
         "_lk", *[F.col(c).alias(prefix + c[2:]) for c in pairs.columns if c != "_lk"])
-    return x.withColumn("_lk", _identity_key(role)).join(pairs, "_lk", how).drop("_lk")
+    return keyed_join(x.withColumn("_lk", _identity_key(role)), pairs, "_lk", spread_by="id", how=how).drop("_lk")
 
 
 def _with_buildings(x: DataFrame, pw_building: DataFrame | None,
@@ -124,11 +128,10 @@ def _with_buildings(x: DataFrame, pw_building: DataFrame | None,
     unless ``keep_columns`` keeps the feed's columns for the funnel step)."""
     if pw_building is None:
         return x
-    if keep_columns:
-        b = pw_building.withColumn("_bld", F.col("buildingabbreviation"))
-    else:
-        b = pw_building.select(F.col("buildingabbreviation").alias("_bld"))
-    return x.join(b, x["desired_building_name"] == b["_bld"], "left").drop("_bld")
+    b = pw_building.withColumn("desired_building_name", F.col("buildingabbreviation"))
+    if not keep_columns:
+        b = b.select("desired_building_name")
+    return keyed_join(x, b, "desired_building_name", spread_by="id")
 
 
 def prospect_conversion(prospect_data: DataFrame, pw_lease: DataFrame,

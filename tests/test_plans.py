@@ -198,6 +198,24 @@ def test_customers_without_applicant_or_prospect_are_spread(spark, t, shuffled_j
     assert _most_in_a_task(m) < 0.5
 
 
+def test_prospects_without_application_or_partner_are_spread(spark, shuffled_joins):
+    pd = spark.range(2000).select(
+        "id", *[F.lit(c).alias(c) for c in C.NAMES], *[F.lit("3125550001").alias(c) for c in C.PHONES],
+        F.lit(dt.datetime(2014, 1, 1)).alias("created"), F.when(F.col("id") < 4, F.col("id") % 2).alias("application_id"),
+        F.when(F.col("id") % 4 > 1, F.lit("Secondary")).alias("primary_or_secondary_applicant"),
+        F.lit(None).cast("string").alias("desired_building_name"))
+    x = C.attach_secondary(pd, pd)
+    assert [tuple(r) for r in x.where("secondary_customer_id is not null").select("id", "secondary_customer_id")
+            .orderBy("id").collect()] == [(0, 2), (1, 3), (2, 2), (3, 3)]
+    assert x.count() == 2000 and _most_in_a_task(x) < 0.5
+    pairs = spark.createDataFrame([("no such key", "L")], "_lk string, r_leasename string")
+    found = C._with_leases(x, pairs, "secondary_", "left", "sl_")
+    assert found.count() == 2000 and _most_in_a_task(found) < 0.5
+    b = spark.createDataFrame([("B1", 1), (None, 2)], "buildingabbreviation string, n int")
+    found = C._with_buildings(x, b, keep_columns=True)
+    assert found.where("n is null").count() == 2000 and _most_in_a_task(found) < 0.5
+
+
 def test_keyed_join_equals_a_join(spark):
     from leadlens.operators.lookup import keyed_join
     a = spark.createDataFrame([(1, 10), (2, None), (3, None), (3, 30), (3, 30), (None, 10), (None, None)], "id long, k int")
