@@ -5,17 +5,21 @@ A page's markup is read into blocks of text. Blocks inside ``article`` (or
 forms, comments, scripts and styles are left out by element, role and class.
 Names of classes are judged whole. What an article or a wrapper around it is
 called counts only where the page has another one that isn't called so. Outside
-articles hidden elements are left out too. On pages without such an element the
-method of the host decides: what lies outside articles, on all pages of the host, is searched
-for long substrings that recur. These are runs of ``LONG`` tokens wherever they
+articles hidden elements are left out too. What this leaves of a page, its
+article or, where it has none, all of it, is then searched together with the
+other pages of its host for long substrings that recur. These are runs of ``LONG`` tokens wherever they
 start (the suffixes of a host's stream, cut there, that equal their neighbours
 in sorted order), and runs of whole blocks with at least ``RUN`` tokens, so that
 a short menu goes but a phrase that sentences share stays. A run is boilerplate
 where it recurs on ``SHARE`` of the host's distinct page texts, and on two at
 least; pages whose texts are copies of one another are one page, and a host of
 fewer than ``LEAST`` texts has no boilerplate, since two pages can't tell a menu
-from a text that both carry. Covered tokens go, the others stay. Text inside an
-article is never removed by it, since pages may carry copies of an article.
+from a text that both carry. Covered tokens go, the others stay. Pages without an
+article are searched for what recurs outside articles. Articles are searched for
+what recurs inside the host's articles, on ``ARTICLE_SHARE`` of their distinct
+texts: notices and adverts that no element, role or class tells from the
+article. Where that is half of an article or more, the articles are versions of
+one text, and it stays whole.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are joined by one line feed.
@@ -28,11 +32,14 @@ say, or with their parent; a page that ends inside a tag ends before it; a quote
 that is never closed is an ordinary character; parsing takes time in proportion
 to the page, whatever its markup; further columns are not read.
 
-Scale: pages are parsed where they are read, once for the search and once for
-the articles. Only hashes of the runs outside
-articles are shuffled, dealt by host, run and page text before they are counted
-by host and run, so a host that holds a third of all pages is spread over the
-tasks; pages move only if they have no article.
+Scale: every page is parsed once, and its main blocks and the hashes of its runs
+are written. The hashes are shuffled, dealt by host, run and page text before
+they are counted by host and run, so a host that holds a third of all pages is
+spread over the tasks; main blocks meet the repeated runs of their page by its key,
+and those of pages that a screen of such keys rules out don't move.
+Long runs inside articles are counted in two steps, since every token of a text
+starts one: first their anchors (a twentieth as many), and then the runs whose
+anchor recurs as often as a run must, so that none is missed.
 """
 
 from __future__ import annotations
@@ -43,17 +50,21 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
+import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.llm.tables import Scratch
 from leadlens.llm.url_filter import host_of
+from leadlens.operators.screen import marked, screen
 
 RUN = 6             # tokens of a run of whole blocks, at least
 LONG = 50           # tokens of a run that starts anywhere
+GRAM = 10           # tokens whose hashes choose the anchor of a long run
 SHARE = 0.5
+ARTICLE_SHARE = 0.8
 LEAST = 3
 # Possessive throughout: a scan either moves on or ends, so parsing is linear.
 _MARKUP = re.compile(
@@ -228,8 +239,8 @@ def _hash(text: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _runs(found: list[str]) -> Iterator[tuple[int, int, int]]:
-    """(first token, end, hash) of the runs of whole blocks and of the long runs."""
+def _block_runs(found: list[str]) -> Iterator[tuple[int, int, int]]:
+    """(first token, end, hash) of the runs of whole blocks."""
     ends = [0]
     for block in found:
         ends.append(ends[-1] + len(block.split()))
@@ -241,13 +252,33 @@ def _runs(found: list[str]) -> Iterator[tuple[int, int, int]]:
     for i, j in spans:
         if i < j:
             yield ends[i], ends[j], _hash("\n".join(["", *found[i:j]]))
+
+
+def _runs(found: list[str]) -> Iterator[tuple[int, int, int]]:
+    """Those, and the long runs."""
+    yield from _block_runs(found)
     stream = " ".join(found).split()
     for k in range(len(stream) - LONG + 1):
         yield k, k + LONG, _hash(" ".join(stream[k:k + LONG]))
 
 
-def _article(found: list[tuple[Place, str]]) -> str | None:
-    """The text of the article element; that of ``main``, if more of it lies
+def _anchors(stream: list[str]) -> np.ndarray:
+    """Of each long run the smallest hash of its ``GRAM`` tokens: the same wherever
+    the run stands, and mostly the same as its neighbour's."""
+    if len(stream) < LONG:
+        return np.empty(0, dtype=np.int64)
+    grams = np.array([_hash(" ".join(stream[k:k + GRAM])) for k in range(len(stream) - GRAM + 1)], dtype=np.int64)
+    return np.lib.stride_tricks.sliding_window_view(grams, LONG - GRAM + 1).min(axis=1)
+
+
+def _anchored(main: list[str], anchors: set[int]) -> set[int]:
+    """Hashes of the long runs that have one of these anchors."""
+    stream = " ".join(main).split()
+    return {_hash(" ".join(stream[k:k + LONG])) for k, a in enumerate(_anchors(stream).tolist()) if a in anchors}
+
+
+def _article(found: list[tuple[Place, str]]) -> list[str] | None:
+    """The blocks of the article element; those of ``main``, if more of it lies
     beside the articles in it than inside articles, since those are teasers
     then. Of several, those that the fewest wrappers speak against."""
     own = [(p, b) for p, b in found if not p.out and (p.article or p.main)]
@@ -256,21 +287,22 @@ def _article(found: list[tuple[Place, str]]) -> str | None:
     articles = [b for p, b in own if p.article]
     beside = [b for p, b in own if not p.article]
     if sum(map(len, beside)) > sum(map(len, articles)):
-        return "\n".join(b for p, b in own if p.main)
-    return "\n".join(articles) if articles else None
+        return [b for p, b in own if p.main]
+    return articles or None
 
 
-def read(source: str | None) -> tuple[str | None, list[str], list[int], int]:
-    """Text of the article (null if the page has none), blocks of pages
-    without one, hashes of the runs outside articles, and of the page's text."""
+def read(source: str | None) -> tuple[bool, list[str], list[int], list[int], int]:
+    """Whether the page has an article, its main blocks (all that structure
+    leaves, without one), hashes of the runs outside articles, of the block runs
+    and anchors inside, and of the page's text."""
     found = list(blocks(source or ""))
-    text = _article(found)
+    article = _article(found)
     outside = [(p.out > 0, b) for p, b in found if not (p.article or p.main)]
-    runs = {h for _, _, h in _runs([b for _, b in outside])}
-    runs |= {h for _, _, h in _runs([b for out, b in outside if not out])}
-    rest = [] if text is not None else [b for p, b in found if not p.out]
-    words = (" ".join(rest) if text is None else text).split()
-    return text, rest, sorted(runs), _hash(" ".join(words))
+    outer = {h for _, _, h in _runs([b for _, b in outside])}
+    outer |= {h for _, _, h in _runs([b for out, b in outside if not out])}
+    inner = {h for _, _, h in _block_runs(article or [])} | set(_anchors(" ".join(article or []).split()).tolist())
+    main = [b for p, b in found if not p.out] if article is None else article
+    return article is not None, main, sorted(outer), sorted(inner), _hash(" ".join(" ".join(main).split()))
 
 
 def unique_runs(rest: list[str], repeated: set[int]) -> str:
@@ -287,35 +319,69 @@ def unique_runs(rest: list[str], repeated: set[int]) -> str:
     return "\n".join(" ".join(words) for words in out.values())
 
 
+def main_text(article: bool, main: list[str], repeated: set[int]) -> str:
+    """What the host's search leaves of a page's main blocks."""
+    whole = "\n".join(main)
+    if not repeated:
+        return whole
+    text = unique_runs(main, repeated)
+    return whole if article and 2 * len(text.split()) <= len(whole.split()) else text
+
+
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every page."""
-    @F.pandas_udf("text string, rest array<string>, runs array<long>, said long")
+    @F.pandas_udf("article boolean, main array<string>, outer array<long>, inner array<long>, said long")
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for sources in batches:
-            yield pd.DataFrame([read(s) for s in sources], columns=["text", "rest", "runs", "said"])
+            yield pd.DataFrame([read(s) for s in sources], columns=["article", "main", "outer", "inner", "said"])
 
     @F.pandas_udf("string")
-    def unique(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for rest, repeated in batches:
-            yield pd.Series([unique_runs(list(b), set() if r is None else {int(x) for x in r})
-                             for b, r in zip(rest, repeated, strict=True)], dtype=object)
+    def unique(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for article, main, repeated in batches:
+            yield pd.Series([main_text(a, list(b), set() if r is None else {int(x) for x in r})
+                             for a, b, r in zip(article, main, repeated, strict=True)], dtype=object)
+    @F.pandas_udf("array<long>")
+    def anchored(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for main, anchors in batches:
+            yield pd.Series([list(_anchored(list(b), {int(x) for x in a})) for b, a in zip(main, anchors, strict=True)],
+                            dtype=object)
     url = F.coalesce("url", F.lit(""))
-    rows = (pages.select("page_id", "url", host_of(url).alias("host"),
-                         F.xxhash64(F.col("page_id").cast("string"), "url", "html").alias("key"),
-                         parse("html").alias("p"))
-            .select("page_id", "url", "host", "key", "p.*"))
-    # what the host's search needs, once; articles are read again where they are written out
     work = Scratch(pages.sparkSession, "html-text")
-    outside = work.write(rows.select("page_id", "url", "host", "key", F.col("text").isNull().alias("bare"),
-                                     "rest", "runs", "said"), "outside")
+    read_once = work.write(
+        pages.select("page_id", "url", host_of(url).alias("host"),
+                     F.xxhash64(F.col("page_id").cast("string"), "url", "html").alias("key"), parse("html").alias("p"))
+        .select("page_id", "url", "host", "key", "p.*"), "pages", compression="zstd")
     # distinct texts first, then their number: two shuffles, and no task holds a host
-    texts = outside.select("host", "said").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    repeated = (outside.select("host", "said", F.explode("runs").alias("run")).distinct()
-                .groupBy("host", "run").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                .join(texts, "host").where((F.col("texts") >= LEAST) & (F.col("n") >= SHARE * F.col("texts")))
-                .select("host", "run"))
-    bare = outside.where("bare")
-    covered = (bare.select("key", "host", F.explode("runs").alias("run")).distinct().join(repeated, ["host", "run"])
-               .groupBy("key").agg(F.collect_set("run").alias("repeated")))
-    plain = bare.join(covered, "key", "left").select("page_id", "url", unique("rest", "repeated").alias("text"))
-    return rows.where("text is not null").select("page_id", "url", "text").unionByName(plain)
+    texts = (read_once.groupBy("host", "said").agg(F.max("article").alias("article"))
+             .groupBy("host").agg(F.count(F.lit(1)).alias("texts"), F.count_if("article").alias("articles")))
+    among = F.when(F.col("article"), F.col("articles")).otherwise(F.col("texts"))
+    share = F.when(F.col("article"), ARTICLE_SHARE).otherwise(SHARE)
+
+    def on_pages(runs: DataFrame, counted: DataFrame, name: str) -> DataFrame:
+        """By key, those of a page's ``runs`` that are often enough among the ``counted``."""
+        # most runs are on pages of one text only: they go after one shuffle
+        twice = work.write(counted.groupBy("host", "article", "run").agg(F.min("said").alias("lo"), F.max("said").alias("hi"))
+                           .where("lo < hi").select("host", "article", "run"), f"{name}-twice")
+        often = (counted.join(twice, ["host", "article", "run"]).select("host", "article", "said", "run").distinct()
+                 .groupBy("host", "article", "run").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                 .join(texts, "host").where((among >= LEAST) & (F.col("n") >= share * among))
+                 .select("host", "article", "run"))
+        # written, so that Spark knows its size and moves no runs where it is small
+        return (runs.join(work.write(often, name), ["host", "article", "run"])
+                .groupBy("key").agg(F.collect_set("run").alias("repeated")))
+
+    def exploded(rows: DataFrame, runs: Column, article: Column) -> DataFrame:
+        return rows.select("key", "host", "said", article.alias("article"), F.explode(runs).alias("run"))
+    inside = F.col("article")
+    inner = exploded(read_once.where(inside), F.col("inner"), inside)
+    bare = exploded(read_once.where(~inside), F.col("outer"), inside)
+    first = work.write(on_pages(inner.unionByName(bare),
+                                inner.unionByName(exploded(read_once, F.col("outer"), F.lit(False))), "often"), "first")
+    hit = marked(read_once, ["key"], screen(first, ["key"]), "hit")          # most pages have no such run: they stay
+    long = exploded(hit.where(inside & F.col("hit")).join(first, "key"), anchored("main", "repeated"), inside)
+    covered = (first.unionByName(on_pages(long, long, "often-long")).groupBy("key")
+               .agg(F.flatten(F.collect_list("repeated")).alias("repeated")))
+    found = (hit.where("hit").join(covered, "key", "left").select("page_id", "url", "article", "main", "repeated")
+             .unionByName(hit.where("not hit").select("page_id", "url", "article", "main",
+                                                      F.lit(None).cast("array<long>").alias("repeated"))))
+    return found.select("page_id", "url", unique("article", "main", "repeated").alias("text"))

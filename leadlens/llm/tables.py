@@ -44,9 +44,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         """Write once and continue from the written table."""
-        df.write.mode("error").parquet(self.path(name))
+        df.write.mode("error").options(**options).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:

@@ -91,3 +91,47 @@ def test_a_megabyte_of_odd_markup_takes_a_moment(piece):
     html_text.blocks(piece * (1_000_000 // len(piece)))
     list(html_text.blocks("<div>" * 200 + "<dd><div>" + "<b>" * 100_000 + piece * (1_000_000 // len(piece))))
     assert time.process_time() - began < 12           # a second or three; quadratic time would be hours
+
+
+def test_articles_pass_the_hosts_search_too(spark):
+    notice = "write to this paper if a letter of yours got lost"        # no class tells it from the article
+    phrase = "as everybody in this town knows by now"
+    body = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(10)]
+    rows = [(k, "http://a.org/x", f"<article><p>{b}</p><p>{notice}</p></article>") for k, b in enumerate(body)]
+    rows += [(20 + k, "http://b.org/x", f"<main><p>{b} {phrase} {b[::-1]}</p></main>") for k, b in enumerate(body)]
+    rows += [(40 + k, "http://half.org/", f"<article><p>{b}</p>{f'<p>{notice}</p>' * (k % 2)}</article>")
+             for k, b in enumerate(body)]
+    rows += [(60 + k, "http://few.org/", f"<article><p>{b}</p><p>{notice}</p></article>") for k, b in enumerate(body[:2])]
+    rows += [(70 + k, "http://same.org/", f"<article><p>{body[0]}</p><p>{notice}</p></article><p>{k}</p>") for k in range(5)]
+    versions = [f"version {k} {' '.join(body)}" for k in range(5)]
+    rows += [(80 + k, "http://versions.org/", f"<article><p>{v}</p></article>") for k, v in enumerate(versions)]
+    rows += [(90 + k, "http://out.org/", f"<div>{notice}</div><article><p>{b}</p>{f'<p>{notice}</p>' * (k < 1)}</article>")
+             for k, b in enumerate(body[:4])]
+    got = {r["page_id"]: r["text"] for r in html_text.extracted(pages(spark, rows)).collect()}
+    assert [got[k] for k in range(10)] == body                                              # on every article
+    assert [got[20 + k] for k in range(10)] == [f"{b} {phrase} {b[::-1]}" for b in body]
+    assert [got[40 + k] for k in range(10)] == [b + f"\n{notice}" * (k % 2) for k, b in enumerate(body)]
+    assert [got[60 + k] for k in range(2)] == [f"{b}\n{notice}" for b in body[:2]]
+    assert {got[70 + k] for k in range(5)} == {f"{body[0]}\n{notice}"}                      # copies of one text
+    assert [got[80 + k] for k in range(5)] == versions                                      # versions of one text
+    assert got[90] == f"{body[0]}\n{notice}" and got[91] == body[1]
+
+
+def test_long_runs_inside_paragraphs_are_found_by_their_anchors(spark):
+    import random
+    r = random.Random(4)
+    word = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
+    for size in (50, 51, 70):
+        rows, want, passage = [], [], word(size)
+        for k in range(6):
+            a, b = word(r.randrange(60, 200)), word(r.randrange(60, 200))
+            rows.append((k, "http://a.org/", f"<article><p>{' '.join(a + passage * (k < 5) + b)}</p></article>"))
+            want.append(" ".join(a + b))
+        got = {r["page_id"]: r["text"] for r in html_text.extracted(pages(spark, rows)).collect()}
+        assert [got[k] for k in range(6)] == want
+    found = [" ".join(word(300)), " ".join(word(20))]
+    stream = " ".join(found).split()
+    every = set(html_text._anchors(stream).tolist())
+    assert len(every) < 40 and html_text._anchored(found, every) == {
+        h for a, b, h in html_text._runs(found) if (a, b, h) not in set(html_text._block_runs(found))}
+    assert not len(html_text._anchors(stream[:49])) and len(html_text._anchors(stream[:50])) == 1
