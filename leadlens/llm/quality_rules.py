@@ -9,9 +9,8 @@ A text's score is the mean of the ratios of its n-grams, so it doesn't depend
 on the length. One threshold decides on every text, without a draw.
 
 Raw counts cover every n-gram of every document. Trusted counts and the
-threshold are fitted on a bounded sample of labelled rows: about ``SAMPLE_ROWS``
-whose crc32 of the id is not 2 modulo 4, chosen by a hash of the id. The
-threshold is the one that parts trusted from rejected labelled texts best
+threshold are fitted on every labelled row whose crc32 of the id is not 2 modulo
+4. The threshold is the one that parts trusted from rejected labelled texts best
 (balanced accuracy, the middle of the widest best gap); without rejected ones it
 lies below all but a ``LOST`` share of the trusted.
 
@@ -25,9 +24,12 @@ rejected by the method. A null label counts for nothing; of repeated labels the
 largest counts; rows that repeat an id are judged each; texts are read whole,
 however long; further columns are not read; empty tables give empty results.
 
-Scale: one pass that sends each task's bucket counts (``BUCKETS`` rows at most)
-through a grouped sum, and one that scores. Sample ids are broadcast
-(``SAMPLE_ROWS``), the table of ratios has ``BUCKETS`` doubles.
+Scale: two passes that send each task's bucket counts (``BUCKETS`` rows at most)
+through a grouped sum, one that scores for the threshold, and one that judges.
+Only texts of trusted ids (and the few that a screen can't rule out) move, to
+meet their labels. The threshold comes from the distinct scores and their numbers
+of trusted and rejected rows, sorted in parts; the driver gets totals of parts.
+The table of ratios has ``BUCKETS`` doubles.
 """
 
 from __future__ import annotations
@@ -37,15 +39,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlens.llm.anchors import GRAMS
 from leadlens.llm.tables import Scratch
+from leadlens.operators.screen import screen, screened
 
 BUCKETS = 1 << 16
 SMOOTH = 1.0
-SAMPLE_ROWS = 30_000
+PARTS = 64                 # of the sorted scores
 LOST = 0.005
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -190,32 +193,58 @@ def best_threshold(trusted: np.ndarray, rejected: np.ndarray) -> float:
     return float(cuts[best[np.argmax(width[best])]])
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """text and trusted of the labelled rows to learn from."""
-    known = (labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("quality"))
-             .where(F.col("quality").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
-             .groupBy("id").agg((F.max("quality") > 0).alias("trusted")))
-    count = known.count()
-    if count > SAMPLE_ROWS:
-        known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < 1_000_000 * SAMPLE_ROWS // count)
-    return (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .join(F.broadcast(known), "id").select("text", "trusted"))
+def fitted_threshold(scores: DataFrame, work: Scratch) -> float:
+    """``best_threshold`` of any number of rows (score, trusted)."""
+    numbers = (scores.groupBy("score").agg(F.count_if("trusted").alias("t"), F.count_if(~F.col("trusted")).alias("r"))
+               .repartitionByRange(PARTS, "score").withColumn("part", F.spark_partition_id()))
+    places = work.write(numbers, "scores")
+    parts = places.groupBy("part").agg(F.sum("t").alias("t"), F.sum("r").alias("r"),
+                                       F.max("score").alias("last")).orderBy("part").collect()      # PARTS rows at most
+    trusted, rejected = sum(p["t"] for p in parts), sum(p["r"] for p in parts)
+    if not trusted:
+        return float("-inf")
+    t, r, last, before = 0, 0, None, []
+    for p in parts:
+        before.append((p["part"], t, r, last))
+        t, r, last = t + p["t"], r + p["r"], p["last"]
+    before = places.sparkSession.createDataFrame(before, "part int, t0 long, r0 long, last double")
+    up_to = Window.partitionBy("part").orderBy("score")
+    below = up_to.rowsBetween(Window.unboundedPreceding, -1)
+    # of every score: numbers of rows below it, and the next lower score
+    placed = places.join(F.broadcast(before), "part").select(
+        "score", "t", (F.col("t0") + F.coalesce(F.sum("t").over(below), F.lit(0))).alias("t_below"),
+        (F.col("r0") + F.coalesce(F.sum("r").over(below), F.lit(0))).alias("r_below"),
+        F.coalesce(F.lag("score").over(up_to), "last").alias("lower"))
+    if not rejected:
+        rank = int(LOST * trusted)
+        return placed.where((F.col("t_below") <= rank) & (F.col("t_below") + F.col("t") > rank)).first()["score"]
+    right = (F.lit(trusted) - F.col("t_below")) * F.lit(rejected) + F.col("r_below") * F.lit(trusted)
+    best = placed.select(right.alias("right"), F.coalesce(F.col("score") - F.col("lower"), F.lit(0.0)).alias("width"),
+                         (-F.col("score")).alias("first"),
+                         F.coalesce((F.col("lower") + F.col("score")) / 2, "score").alias("cut"))
+    return best.agg(F.max(F.struct("right", "width", "first", "cut"))).first()[0]["cut"]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     work = Scratch(docs.sparkSession, "quality")
-    sample = work.write(_sample(docs, labels, id_col, text_col), "labelled")
-    trusted = _counts(sample.where("trusted").select("text"))
+    known = work.write(labels.select(F.col("doc_id").alias("id"), "quality")
+                       .where(F.col("quality").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
+                       .groupBy("id").agg((F.max("quality") > 0).alias("trusted")), "labelled")
+    rows = docs.select(F.col(id_col).cast(known.schema["id"].dataType).alias("id"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    wanted = known.where("trusted").select("id")
+    trusted = _counts(screened(rows, ["id"], screen(wanted, ["id"])).join(wanted, "id").select("text"))
     if not trusted.any():
         work.drop("labelled")
         return Model()
-    raw = _counts(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    raw = _counts(rows.select("text"))
     model = Model(log_ratios(trusted, raw))
-    rows = sample.select("trusted", _judged(model)(F.col("text")).alias("j")).where(
-        ~_base_failed(F.col("j"))).select("trusted", "j.score").collect()
-    model.threshold = best_threshold(np.array([r["score"] for r in rows if r["trusted"]]),
-                                     np.array([r["score"] for r in rows if not r["trusted"]]))
-    work.drop("labelled")
+    # scores first: they are small where texts are not
+    scores = (screened(rows, ["id"], screen(known, ["id"])).select("id", _judged(model)(F.col("text")).alias("j"))
+              .where(~_base_failed(F.col("j"))).select("id", "j.score").join(known, "id").select("score", "trusted"))
+    model.threshold = fitted_threshold(scores, work)
+    for name in ("labelled", "scores"):
+        work.drop(name)
     return model
 
 

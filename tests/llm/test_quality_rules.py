@@ -127,3 +127,31 @@ def test_threshold():
     assert t(np.array([]), np.array([1.0])) == float("-inf")
     assert t(np.array([1.0, 1.0]), np.array([1.0])) == 1.0            # ties stay
     assert t(np.arange(1000.0), np.array([])) == 5.0
+
+
+def test_every_labelled_row_counts(spark, monkeypatch):
+    """Whatever bound on labelled rows there was, all of them are learned from."""
+    monkeypatch.setattr(quality_rules, "SAMPLE_ROWS", 40, raising=False)
+    rows = corpus()
+    docs, labels = documents(spark, rows), labels_of(spark, rows)
+    model = quality_rules.fit(docs, labels)
+    held = {r["doc_id"] for r in docs.where(quality_rules.held_out(docs["doc_id"])).select("doc_id").collect()}
+    known = {d: d % 4 > 0 for d, _ in rows if d % 10 != 9 and d not in held}
+    score = dict(zip([d for d, _ in rows], brute_scores(rows, {d for d, t in known.items() if t})))
+    got = {r["id"]: r["score"] for r in quality_rules.judged(docs, model).collect()}
+    assert all(abs(got[d] - s) < 1e-9 for d, s in score.items())
+    good = [d for d, t in rows if not (len(WORD.findall(t)) < 50)]
+    want = quality_rules.best_threshold(np.array([score[d] for d in good if known.get(d) is True]),
+                                        np.array([score[d] for d in good if known.get(d) is False]))
+    assert abs(model.threshold - want) < 1e-9
+
+
+@pytest.mark.parametrize("share", [0, 0.1, 0.5, 1])
+def test_threshold_of_many_rows_equals_that_of_arrays(spark, monkeypatch, share):
+    from leadlens.llm.tables import Scratch
+    r = random.Random(8)
+    for n, parts in ((1, 4), (7, 3), (300, 5), (300, 1)):
+        monkeypatch.setattr(quality_rules, "PARTS", parts, raising=False)
+        rows = [(r.randrange(-n, n) / 8, r.random() >= share) for _ in range(n)]
+        got = quality_rules.fitted_threshold(spark.createDataFrame(rows, "score double, trusted boolean"), Scratch(spark, "test"))
+        assert got == quality_rules.best_threshold(np.array([s for s, t in rows if t]), np.array([s for s, t in rows if not t]))
